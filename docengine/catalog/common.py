@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docengine.functions.text import WHITESPACE
-from docengine.runtime import apply_settings
+from docengine.runtime import apply_settings, spread
 from docengine.sources.tables import read_table
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -21,6 +21,11 @@ def table(spark: SparkSession, where: str, name: str) -> DataFrame:
     return read_table(spark, where, name)
 
 
+def text_table(spark: SparkSession, where: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores when it is small."""
+    return spread(table(spark, where, name))
+
+
 def text_time(c: Column | str) -> Column:
     """Timestamps as text, so that results do not depend on a client's time zone."""
     c = F.col(c) if isinstance(c, str) else c

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docengine.catalog import query
-from docengine.catalog.common import DIGITS, EMAIL, WEB, chunk_sql, sql_strip, table
+from docengine.catalog.common import DIGITS, EMAIL, WEB, chunk_sql, sql_strip, table, text_table
 from docengine.functions.text import render_prompt as prompt_of
 from docengine.operators import chunker, extraction as ex
 from docengine.operators.model import best_row
 from docengine.operators.monitoring import score_histogram as histogram
-from docengine.operators.sections import parse_sections, sections_to_text
+from docengine.operators.sections import explode_sections, parse_sections, sections_to_text
 
 STRIP_TAGS = (
     "regexp_replace(regexp_replace({0}, '(?s)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>',"
@@ -49,15 +49,15 @@ PAGE_SECTIONS = rf"""
 
 
 def page_texts(spark, d):
-    pages = table(spark, d, "pages").select("page_id", "html")
+    pages = text_table(spark, d, "pages").select("page_id", "html")
     parsed = parse_sections(pages, "html", kind="html")
     return parsed.select("page_id", sections_to_text("sections").alias("full_text"))
 
 
 @query(f"WITH {PAGE_SECTIONS} SELECT page_id, ord, title, body FROM sections")
 def html_sections(spark, d):
-    pages = table(spark, d, "pages").select("page_id", "html")
-    return parse_sections(pages, "html", kind="html").select("page_id", F.inline("sections"))
+    pages = text_table(spark, d, "pages").select("page_id", "html")
+    return explode_sections(parse_sections(pages, "html", kind="html"), keep=("page_id",))
 
 
 @query(f"WITH {PAGE_SECTIONS} SELECT id AS page_id, text AS full_text FROM texts")
@@ -79,7 +79,7 @@ DOCS = "SELECT doc_id AS id, text FROM documents"
 
 
 def document_chunks(spark, d, keep=()):
-    docs = table(spark, d, "documents").select("doc_id", "text", *keep)
+    docs = text_table(spark, d, "documents").select("doc_id", "text", *keep)
     return chunker.chunk(docs, "doc_id", "text", keep)
 
 
@@ -99,7 +99,7 @@ def chunk_windows(spark, d):
 """)
 def chunk_windows_dense(spark, d):
     """Overlap beyond the stride: a window spans several strides."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = text_table(spark, d, "documents").select("doc_id", "text")
     return chunker.chunk(docs, "doc_id", "text", max_chars=300, overlap=200, min_chars=150).select(
         "doc_id", "chunk_index", "chunk_text"
     )
@@ -121,7 +121,7 @@ def chunk_stats(spark, d):
 """)
 def dedup_texts(spark, d):
     """One document per text; copies are told by their digest, so no text is shuffled."""
-    docs = table(spark, d, "documents").select(F.md5("text").alias("text_md5"), "doc_id", "n_chars")
+    docs = text_table(spark, d, "documents").select(F.md5("text").alias("text_md5"), "doc_id", "n_chars")
     return best_row(docs, ["text_md5"], [F.asc("doc_id")])
 
 
@@ -152,7 +152,7 @@ def chunk_preview(spark, d):
 """)
 def render_prompt(spark, d):
     prompt = prompt_of("text", "Read the text.\n")
-    docs = table(spark, d, "documents").select("doc_id", prompt.alias("prompt"))
+    docs = text_table(spark, d, "documents").select("doc_id", prompt.alias("prompt"))
     return docs.select("doc_id", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("prompt_chars"))
 
 
@@ -197,7 +197,7 @@ RULES = {
 
 def extracted_documents(spark, d):
     """Payload found by rules in the whole text, parsed back to types."""
-    docs = table(spark, d, "documents").select("doc_id", "n_chars", "text")
+    docs = text_table(spark, d, "documents").select("doc_id", "n_chars", "text")
     with_json = ex.extract(docs, ex.rule_extractor(RULES, "text")).drop("text")
     return with_json.withColumn("x", ex.parse_payload("extraction_json"))
 

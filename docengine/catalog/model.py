@@ -13,6 +13,7 @@ from docengine.operators.changes import snapshot_diff as diff_of
 from docengine.operators.ingest import distinct_rows as distinct_of
 from docengine.operators.joins import fk_orphans as orphans_of, with_child_count, with_dim
 from docengine.operators.model import current_flag as flag_of
+from docengine.runtime import materialize
 
 ORDER_KEYS = ["o_custkey", "o_orderpriority"]
 
@@ -154,7 +155,8 @@ def refresh_dim(spark, d):
     silver = _silver(orders_of(spark, d))
     first = _silver(orders_of(spark, d).filter("o_orderstatus = 'F'"))
     empty = spark.createDataFrame([], T.StructType.fromDDL(DIM_DDL))
-    return _next_dim(silver, _next_dim(first, empty)).drop("created_at")
+    dim = materialize(_next_dim(first, empty), "dim")
+    return _next_dim(silver, dim).drop("created_at")
 
 
 @query("""

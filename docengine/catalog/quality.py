@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,19 +32,36 @@ def dated_orders(spark, d) -> DataFrame:
     return orders.withColumn("is_current", F.col("o_orderdate") == F.max("o_orderdate").over(newest))
 
 
-def tables(spark, d) -> dict[str, DataFrame]:
-    return {
-        "labelled": labelled(spark, d),
-        "documents": table(spark, d, "documents"),
-        "labels": table(spark, d, "labels"),
-        "orders": dated_orders(spark, d),
-        "customer": table(spark, d, "customer"),
-        "lineitem": table(spark, d, "lineitem"),
-        "large_parts": table(spark, d, "part").filter("p_size > 25"),
-        "part": table(spark, d, "part"),
-        "prices": prices_of(spark, d),
-        "chunks": document_chunks(spark, d),
+class CheckTables(Mapping):
+    """The inputs of the checks, each planned when a check asks for it."""
+
+    SOURCES = {
+        "labelled": lambda spark, d: labelled(spark, d),
+        "orders": lambda spark, d: dated_orders(spark, d),
+        "large_parts": lambda spark, d: table(spark, d, "part").filter("p_size > 25"),
+        "prices": lambda spark, d: prices_of(spark, d),
+        "chunks": lambda spark, d: document_chunks(spark, d),
     }
+    PLAIN = ("documents", "labels", "customer", "lineitem", "part")
+
+    def __init__(self, spark, d):
+        self.spark, self.d, self.held = spark, d, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.held:
+            if name in self.SOURCES:
+                self.held[name] = self.SOURCES[name](self.spark, self.d)
+            elif name in self.PLAIN:
+                self.held[name] = table(self.spark, self.d, name)
+            else:
+                raise KeyError(name)
+        return self.held[name]
+
+    def __iter__(self):
+        return iter((*self.SOURCES, *self.PLAIN))
+
+    def __len__(self) -> int:
+        return len(self.SOURCES) + len(self.PLAIN)
 
 
 ORDER_DAY = "1998-06-01"
@@ -150,7 +169,7 @@ def _result_sql(check: ex.Check, violations: str, counted: str) -> str:
 
 
 def _check_query(check: ex.Check):
-    return lambda spark, d: ex.check_results(tables(spark, d), [check]).select(*RESULT)
+    return lambda spark, d: ex.check_results(CheckTables(spark, d), [check]).select(*RESULT)
 
 
 for _name, _entry in CHECKS.items():
@@ -161,7 +180,7 @@ LOG_TIME = f"{AS_OF}.000000"
 
 
 def all_results(spark, d) -> DataFrame:
-    return ex.check_results(tables(spark, d), [entry[0] for entry in CHECKS.values()])
+    return ex.check_results(CheckTables(spark, d), [entry[0] for entry in CHECKS.values()])
 
 
 @query(f"""
@@ -334,8 +353,9 @@ PRICED = f"""
     )"""
 BY_JOB = f"""
     WITH {PRICED}
-    SELECT CAST(ts AS DATE) AS usage_date, job_name, round(sum(value), 2) AS dbus_consumed,
-           round(sum(value * list_price), 2) AS estimated_cost_usd
+    SELECT CAST(ts AS DATE) AS usage_date, job_name, CAST(round(sum(CAST(value AS DECIMAL(12, 6))), 2) AS DOUBLE) AS dbus_consumed,
+           CAST(round(sum(CAST(value AS DECIMAL(12, 6)) * CAST(list_price AS DECIMAL(12, 6))), 2) AS DOUBLE)
+               AS estimated_cost_usd
     FROM priced GROUP BY ALL"""
 
 
@@ -352,8 +372,9 @@ def cost_by_job_bucketed(spark, d):
 
 @query(f"""
     WITH {PRICED}
-    SELECT regexp_extract(job_name, '{STAGE}', 1) AS stage, round(sum(value * list_price), 2) AS cost_usd_14d,
-           round(sum(value), 2) AS dbus_14d
+    SELECT regexp_extract(job_name, '{STAGE}', 1) AS stage, CAST(round(sum(CAST(value AS DECIMAL(12, 6)) * CAST(list_price AS DECIMAL(12, 6))), 2) AS DOUBLE)
+               AS cost_usd_14d,
+           CAST(round(sum(CAST(value AS DECIMAL(12, 6))), 2) AS DOUBLE) AS dbus_14d
     FROM priced GROUP BY 1
 """)
 def cost_by_stage(spark, d):

@@ -11,7 +11,7 @@ from docengine.catalog.documents import document_chunks
 from docengine.catalog.model import YEARLY, _yearly
 from docengine.operators import embedding, retrieval
 from docengine.operators import similarity as sim
-from docengine.runtime import scratch_path
+from docengine.runtime import materialize, scratch_path
 from docengine.sources.files import stream_table
 from docengine.streaming.index_sync import current_index, sync_index_stream
 
@@ -181,7 +181,7 @@ def text_search(spark, d):
     """Benchmark texts as questions against embedded chunks of all documents."""
     chunks = document_chunks(spark, d, ("source", "lang"))
     encoder = embedding.fit_encoder(chunks, "chunk_text", dim=512)
-    index = embedding.embed(chunks, "chunk_text", encoder)
+    index = materialize(embedding.embed(chunks, "chunk_text", encoder), "index")
     asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("chunk_text"))
     queries = embedding.embed(asked, "chunk_text", encoder, "query_vec").select("query_id", "query_vec")
     return retrieval.search_passages(index, queries, cols=["doc_id", "source", "section_title", "chunk_text"])

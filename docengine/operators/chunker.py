@@ -104,10 +104,15 @@ def chunk(
     counts the kept chunks of a document from 0 without gaps.
     """
     cols = list(dict.fromkeys([id_col, *keep, *([version_col] if version_col else [])]))
+    chunks = F.when(
+        F.length(text_col) > min_chars, chunk_array(text_col, max_chars, overlap, min_chars)
+    )
+    # An outer generator and a filter behind it: in front of an inner one the
+    # optimizer repeats the whole array expression to test for empty arrays.
     pieces = (
-        df.filter(F.length(text_col) > min_chars)
-        .select(*cols, chunk_array(text_col, max_chars, overlap, min_chars).alias("_chunks"))
-        .select(*cols, F.posexplode("_chunks").alias("chunk_index", "_chunk"))
+        df.select(*cols, chunks.alias("_chunks"))
+        .select(*cols, F.posexplode_outer("_chunks").alias("chunk_index", "_chunk"))
+        .filter(F.col("_chunk").isNotNull())
     )
     out = [
         chunk_key(id_col, "chunk_index", version_col).alias("chunk_id"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docengine.functions.text import as_col
+from docengine.runtime import materialize
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -169,29 +170,23 @@ def refresh_dim(
     keys stay; new keys continue after the greatest one.  Flags are recomputed
     over the merged rows, so that rows which left the source do not stay
     current.
+
+    The merged rows are written once to the shared folder: numbering and flags
+    need two passes each, over the dimension instead of over the source.
     """
-    named = source.filter(F.col(id_col).isNotNull())
-    best = best_row(named, keys, order).select(
+    best = best_row(source.filter(F.col(id_col).isNotNull()), keys, order).select(
         *keys, *[F.col(src).alias(c) for c, src in columns.items() if c not in keys]
     )
-    known = _prefixed(dim, "k_", keys)
-    on_known = reduce(and_, [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys])
-    fresh = named.select(*keys).distinct().join(known, on_known, "left_anti")
-    greatest = dim.agg(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
-    keyed = _prefixed(assign_keys(fresh, keys, sk_col, greatest), "n_")
-    on_new = reduce(and_, [F.col(k).eqNullSafe(F.col(f"n_{k}")) for k in keys])
-    incoming = (
-        best.join(keyed, on_new, "left")
-        .withColumn(sk_col, F.col(f"n_{sk_col}"))
-        .withColumn(time_col, (F.current_timestamp() if as_of is None else as_of).cast("timestamp"))
-        .drop(*[f"n_{k}" for k in keys], f"n_{sk_col}")
-    )
+    loaded = (F.current_timestamp() if as_of is None else as_of).cast("timestamp")
     refreshed = [c for c in columns if c not in keys] + [time_col]
-    merged = upsert(dim, incoming, keys, refreshed, [*refreshed, sk_col])
-    order_out = dim.columns
+    merged = materialize(upsert(dim, best.withColumn(time_col, loaded), keys, refreshed), "dim")
+    greatest = merged.agg(F.coalesce(F.max(sk_col), F.lit(0)).cast("bigint")).scalar()
+    known = merged.filter(F.col(sk_col).isNotNull())
+    fresh = assign_keys(merged.filter(F.col(sk_col).isNull()).drop(sk_col), keys, sk_col, greatest)
     return current_flag(
-        merged.drop(flag_col), id_col, date_col, flag_col, strict=strict, tie_break=tie_break
-    ).select(*order_out)
+        known.unionByName(fresh).drop(flag_col), id_col, date_col, flag_col,
+        strict=strict, tie_break=tie_break,
+    ).select(*dim.columns)
 
 
 def build_fact(
@@ -220,13 +215,16 @@ def build_fact(
     )
     if order is not None:
         items = F.array_distinct(items)
-    rows = rows.select(*keys, *keep, items.alias("_items")).filter(F.size("_items") > 0)
+    rows = rows.select(*keys, *keep, items.alias("_items"))
     members = dim.select(F.col(sk_col), *[F.col(k).alias(f"d_{k}") for k in keys]).filter(
         F.col(sk_col).isNotNull()
     )
     on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"d_{k}")) for k in keys])
-    out = rows.join(members, on).select(
-        sk_col, *keys, *keep, F.explode("_items").alias(item_col)
+    # Outer, then filtered: see the chunker.
+    out = (
+        rows.join(members, on)
+        .select(sk_col, *keys, *keep, F.explode_outer("_items").alias(item_col))
+        .filter(F.col(item_col).isNotNull())
     )
     if as_of is not None:
         out = out.withColumn(time_col, as_of.cast("timestamp"))

@@ -99,6 +99,18 @@ def freshness(
     )
 
 
+# Amounts are summed as decimals: exact, and the same in whatever order.
+AMOUNT = "decimal(18,6)"
+
+
+def _total(amount: Column) -> Column:
+    return F.round(F.sum(amount), 2).cast("double")
+
+
+def _cost() -> Column:
+    return F.col("usage_quantity") * F.col("list_price").cast(AMOUNT)
+
+
 def priced_usage(
     usage: DataFrame,
     prices: DataFrame,
@@ -119,7 +131,7 @@ def _job_usage(usage: DataFrame, prefix: str, days: int | None, as_of, tag: str)
     if days is not None:
         rows = rows.filter(since_date("usage_start_time", days, as_of))
     return rows.select(
-        "sku_name", "usage_start_time", "usage_quantity", tag_value("custom_tags", tag).alias("job_name")
+        "sku_name", "usage_start_time", F.col("usage_quantity").cast(AMOUNT).alias("usage_quantity"), tag_value("custom_tags", tag).alias("job_name")
     )
 
 
@@ -130,8 +142,8 @@ def cost_by_job(usage: DataFrame, prices: DataFrame, prefix: str, days: int | No
     return (
         priced.groupBy(F.to_date("usage_start_time").alias("usage_date"), "job_name")
         .agg(
-            F.round(F.sum("usage_quantity"), 2).alias("dbus_consumed"),
-            F.round(F.sum(F.col("usage_quantity") * F.col("list_price")), 2).alias("estimated_cost_usd"),
+            _total(F.col("usage_quantity")).alias("dbus_consumed"),
+            _total(_cost()).alias("estimated_cost_usd"),
         )
         .orderBy(F.desc("usage_date"), F.desc("estimated_cost_usd"), "job_name")
     )
@@ -145,8 +157,8 @@ def cost_by_stage(usage: DataFrame, prices: DataFrame, prefix: str, pattern: str
     return (
         priced.groupBy(stage.alias("stage"))
         .agg(
-            F.round(F.sum(F.col("usage_quantity") * F.col("list_price")), 2).alias("cost_usd_14d"),
-            F.round(F.sum("usage_quantity"), 2).alias("dbus_14d"),
+            _total(_cost()).alias("cost_usd_14d"),
+            _total(F.col("usage_quantity")).alias("dbus_14d"),
         )
         .orderBy(F.desc("cost_usd_14d"), "stage")
     )

@@ -135,6 +135,11 @@ def parse_sections(df: DataFrame, col: str, kind: str = "xml", out: str = "secti
     return df.withColumn(out, reader(col, **options))
 
 
+def explode_sections(df: DataFrame, col: str = "sections", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per section; documents without one give none."""
+    return df.select(*keep, F.inline_outer(col)).filter(F.col("ord").isNotNull())
+
+
 def sections_to_text(sections: Column | str) -> Column:
     """``## title`` blocks joined by a blank line; NULL when there is no section."""
     sections = as_col(sections)

@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
+# Read when a session starts: no call-site capture for every Column in Python.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def session(app: str = "docengine", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,7 +32,7 @@ def session(app: str = "docengine", master: str | None = None, **conf: str) -> S
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **START_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -88,6 +90,20 @@ def materialized(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
         delete_path(df.sparkSession, path)
 
 
+def spread(df: DataFrame, split_bytes: int = 1 << 20, core_bytes: int = 64 << 20) -> DataFrame:
+    """Give a small input as many partitions as there are cores.
+
+    A file with one row group is one task however many cores wait for it.
+    Only inputs under ``core_bytes`` per core are moved, by hash of the first
+    column; larger ones have splits enough and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if held >= cores * core_bytes:
+        return df
+    return df.repartition(max(1, min(cores, held // split_bytes)), df.columns[0])
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) pair for any store Spark can reach."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
