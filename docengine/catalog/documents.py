@@ -60,9 +60,9 @@ def html_sections(spark, d):
     return explode_sections(parse_sections(pages, "html", kind="html"), keep=("page_id",))
 
 
-@query(f"WITH {PAGE_SECTIONS} SELECT id AS page_id, text AS full_text FROM texts")
+@query(f"WITH {PAGE_SECTIONS} SELECT page_id, text AS full_text FROM pages LEFT JOIN texts ON id = page_id")
 def sections_text(spark, d):
-    return page_texts(spark, d).filter(F.col("full_text").isNotNull())
+    return page_texts(spark, d)
 
 
 @query(f"""

@@ -13,6 +13,7 @@ from docengine.catalog.documents import DOCS, document_chunks
 from docengine.operators import expectations as ex
 from docengine.operators import monitoring as mon
 from docengine.operators.joins import no_overlap_violations
+from docengine.operators.model import current_flag
 
 RESULT = ["check_id", "target_table", "severity", "violation_count", "row_count_total"]
 
@@ -28,8 +29,7 @@ LABELLED = "(SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels l ON l
 
 def dated_orders(spark, d) -> DataFrame:
     orders = table(spark, d, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    newest = Window.partitionBy("o_custkey")
-    return orders.withColumn("is_current", F.col("o_orderdate") == F.max("o_orderdate").over(newest))
+    return current_flag(orders, "o_custkey", "o_orderdate", "is_current")
 
 
 class CheckTables(Mapping):
@@ -328,10 +328,11 @@ STAGE = r"^docs-([a-z]+)-"
 
 def usage_of(spark, d) -> DataFrame:
     """Events as metered usage of a job named in a tag."""
-    k = F.from_json("props", "k INT")["k"]
+    events = table(spark, d, "events").withColumn("k", F.from_json("props", "k INT")["k"])
+    k = F.col("k")
     job = F.concat(F.lit("docs-"), F.col("event_type"), F.when(k < 50, "-dev").otherwise("-prod"))
     named = F.when(k < 90, job).otherwise(F.concat(F.lit("other-"), F.col("event_type")))
-    return table(spark, d, "events").select(
+    return events.select(
         F.col("event_type").alias("sku_name"), F.col("ts").cast("timestamp").alias("usage_start_time"),
         F.col("value").alias("usage_quantity"), F.create_map(F.lit("job_name"), named).alias("custom_tags"),
     )

@@ -127,12 +127,23 @@ def similarity_approx(spark, d):
 
 
 def passage_index(spark, d):
-    """Vectors of the documents they were made for, with text and citation columns."""
-    docs = table(spark, d, "documents").select(
+    """Vectors of documents; the label stands for the entity."""
+    return vectors(spark, d).withColumnRenamed("label", "set_id")
+
+
+def passages(spark, d):
+    """What is shown of a hit, fetched for the hits only."""
+    return table(spark, d, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("source").alias("drug_name"),
         F.col("lang").alias("section_title"), F.col("text").alias("chunk_text"),
     )
-    return vectors(spark, d).withColumnRenamed("label", "set_id").join(docs, "vec_id")
+
+
+def options(spark, d):
+    return {
+        "id_col": "vec_id", "vec_col": "embedding", "display": passages(spark, d),
+        "cols": ["drug_name", "section_title", "chunk_text"],
+    }
 
 
 PASSAGES = """
@@ -141,7 +152,6 @@ PASSAGES = """
         FROM embeddings JOIN documents ON doc_id = vec_id
     )"""
 CUT = "CASE WHEN length(chunk_text) > 1200 THEN substr(chunk_text, 1, 1200) || ' …' ELSE chunk_text END"
-OPTIONS = {"id_col": "vec_id", "vec_col": "embedding"}
 
 
 def _passage_hits(where: str = "") -> str:
@@ -150,9 +160,9 @@ def _passage_hits(where: str = "") -> str:
 
 
 @query(f"""{_passage_hits()}
-    SELECT query_id, vec_id, score, rank, set_id, drug_name, section_title, {CUT} AS chunk_text FROM hits""")
+    SELECT query_id, vec_id, score, rank, drug_name, section_title, {CUT} AS chunk_text FROM hits""")
 def search_passages(spark, d):
-    return retrieval.search_passages(passage_index(spark, d), label_queries(spark, d), **OPTIONS)
+    return retrieval.search_passages(passage_index(spark, d), label_queries(spark, d), **options(spark, d))
 
 
 LARGE_SETS = """set_id IN (SELECT label FROM embeddings GROUP BY label
@@ -160,19 +170,19 @@ LARGE_SETS = """set_id IN (SELECT label FROM embeddings GROUP BY label
 
 
 @query(f"""{_passage_hits("WHERE " + LARGE_SETS)}
-    SELECT query_id, vec_id, score, rank, set_id, drug_name, section_title, {CUT} AS chunk_text FROM hits""")
+    SELECT query_id, vec_id, score, rank, drug_name, section_title, {CUT} AS chunk_text FROM hits""")
 def search_within(spark, d):
     """Only passages of the sets that are larger than the average set."""
     sizes = vectors(spark, d).groupBy(F.col("label").alias("set_id")).agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") >= sizes.agg(F.avg("n")).scalar())
-    return retrieval.search_within(passage_index(spark, d), large, label_queries(spark, d), **OPTIONS)
+    return retrieval.search_within(passage_index(spark, d), large, label_queries(spark, d), **options(spark, d))
 
 
 @query(f"""{_passage_hits()}
     SELECT query_id, string_agg(line, chr(10) ORDER BY line) AS sources
     FROM (SELECT DISTINCT query_id, drug_name || ' — ' || section_title AS line FROM hits) GROUP BY query_id""")
 def citations(spark, d):
-    hits = retrieval.search_passages(passage_index(spark, d), label_queries(spark, d), **OPTIONS)
+    hits = retrieval.search_passages(passage_index(spark, d), label_queries(spark, d), **options(spark, d))
     return retrieval.citations(hits)
 
 

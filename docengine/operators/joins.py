@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -125,23 +125,41 @@ def interval_join(
     return out.drop(*[f"p_{k}" for k in on])
 
 
-def no_overlap_violations(periods: DataFrame, on: Sequence[str], start: str, end: str) -> DataFrame:
+def no_overlap_violations(
+    periods: DataFrame, on: Sequence[str], start: str, end: str, bucket_seconds: int = 86400
+) -> DataFrame:
     """Periods that begin before an earlier one of the same key has ended.
 
-    A running maximum of the ends seen so far: one pass over a sorted key, no
-    pairs.
+    A running maximum of the ends seen so far, no pairs.  It is taken in two
+    steps, so that a key with a large share of the rows is not one task: over
+    the buckets of a key (one aggregated row per bucket of ``start``), and
+    over the rows inside a bucket.
     """
-    from pyspark.sql import Window
-
     forever = F.lit("9999-12-31").cast("timestamp")
-    w = (
-        Window.partitionBy(*on)
-        .orderBy(start, F.coalesce(F.col(end).cast("timestamp"), forever))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows = periods.withColumns(
+        {
+            "_start": F.col(start).cast("timestamp"),
+            "_end": F.coalesce(F.col(end).cast("timestamp"), forever),
+            "_bucket": F.floor(F.unix_seconds(F.col(start).cast("timestamp")) / bucket_seconds),
+        }
+    )
+    before = Window.partitionBy(*on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        rows.groupBy(*on, "_bucket")
+        .agg(F.max("_end").alias("_last"))
+        .select(
+            *[F.col(k).alias(f"e_{k}") for k in on],
+            F.col("_bucket").alias("e_bucket"),
+            F.max("_last").over(before).alias("_reached"),
+        )
+    )
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"e_{k}")) for k in on])
+    inside = (
+        Window.partitionBy(*on, "_bucket").orderBy("_start", "_end").rowsBetween(Window.unboundedPreceding, -1)
     )
-    reached = F.max(F.coalesce(F.col(end).cast("timestamp"), forever)).over(w)
     return (
-        periods.withColumn("_reached", reached)
-        .filter(F.col("_reached") > F.col(start).cast("timestamp"))
-        .drop("_reached")
+        rows.withColumn("_here", F.max("_end").over(inside))
+        .join(earlier, match & (F.col("_bucket") == F.col("e_bucket")))
+        .filter(F.greatest("_reached", "_here") > F.col("_start"))
+        .select(*periods.columns)
     )

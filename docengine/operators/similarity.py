@@ -116,9 +116,13 @@ def similarity_topk(
     cols: Sequence[str] = (),
     metric: str = "cosine",
     max_query_bytes: int = MAX_QUERY_BYTES,
+    display: DataFrame | None = None,
 ) -> DataFrame:
     """The k nearest index rows of every query: (query id, id, score, rank, cols).
 
+    ``cols`` are fetched from ``display`` (by the same id; the index itself by
+    default) after the search.
+
     Queries up to ``max_query_bytes`` go to every task; a larger set is joined
     with the index tile by tile (``_tiled_hits``).  Both ways are exact.
     """
@@ -132,7 +136,7 @@ def similarity_topk(
     hits = find(vectors, queries, k, id_col, vec_col, query_id, query_vec, metric == "cosine")
     if small:
         queries.unpersist()
-    return with_columns(_top(hits, query_id, id_col, k), index, id_col, cols)
+    return with_columns(_top(hits, query_id, id_col, k), index if display is None else display, id_col, cols)
 
 
 def with_columns(hits: DataFrame, index: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:

@@ -21,6 +21,8 @@ SETTINGS = {
     # skewed partitions, at the price of one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Documents and vectors are large rows: bound an Arrow batch in bytes too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
 }
 # Read when a session starts: no call-site capture for every Column in Python.

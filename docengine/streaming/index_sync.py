@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docengine.operators.changes import DELETE
-from docengine.operators.joins import union_all
 from docengine.operators.model import best_row
 from docengine.runtime import delete_path, list_dirs, path_exists
 
@@ -32,7 +31,9 @@ def write_changes(changes: DataFrame, encoder: Encoder, path: str, batch: int, k
     rows = best_row(changes, [key], [F.desc(order)]) if order else changes
     deleted = F.col(op_col) == DELETE if op_col else F.lit(False)
     rows = rows.withColumn("deleted", deleted)
-    out = encoder(rows).select(key, *[c for c in cols if c != key], "embedding", "deleted")
+    out = encoder(rows).select(
+        key, *[c for c in cols if c != key], "embedding", "deleted", F.lit(batch).cast("bigint").alias("batch_no")
+    )
     out.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
@@ -45,13 +46,12 @@ def current_index(spark: SparkSession, path: str, key: str = "chunk_id") -> Data
     """Newest row of every key that has not been deleted."""
     bases = _committed(spark, path, "base")
     base = bases[-1] if bases else -1
-    parts = [(n, "batch") for n in _committed(spark, path, "batch") if n > base]
+    parts = [f"{path}/batch={n}" for n in _committed(spark, path, "batch") if n > base]
     if bases:
-        parts.insert(0, (base, "base"))
-    log = union_all(
-        [spark.read.parquet(f"{path}/{kind}={n}").withColumn("_n", F.lit(n)) for n, kind in parts]
-    )
-    return best_row(log, [key], [F.desc("_n")]).filter(~F.col("deleted")).drop("_n", "deleted")
+        parts.append(f"{path}/base={base}")
+    # One scan, however many batches there are.
+    log = spark.read.parquet(*parts)
+    return best_row(log, [key], [F.desc("batch_no")]).filter(~F.col("deleted")).drop("batch_no", "deleted")
 
 
 def compact(spark: SparkSession, path: str, key: str = "chunk_id") -> int:
@@ -63,7 +63,9 @@ def compact(spark: SparkSession, path: str, key: str = "chunk_id") -> int:
     bases, known = _committed(spark, path, "base"), _committed(spark, path, "batch")
     newest = max([*bases, *known])
     if newest not in bases:
-        folded = current_index(spark, path, key).withColumn("deleted", F.lit(False))
+        folded = current_index(spark, path, key).withColumns(
+            {"deleted": F.lit(False), "batch_no": F.lit(newest).cast("bigint")}
+        )
         folded.write.mode("overwrite").parquet(f"{path}/base={newest}")
     for kind, numbers in (("batch", known), ("base", bases)):
         for n in numbers:
