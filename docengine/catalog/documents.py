@@ -188,10 +188,10 @@ def schema_violations(spark, d):
 
 
 RULES = {
-    "drug_name": ex.Rule("first", EMAIL),
-    "generic_name": ex.Rule("first", WEB),
+    "drug_name": ex.Rule("first", EMAIL, needs="@"),
+    "generic_name": ex.Rule("first", WEB, needs="://"),
     "adverse_events": ex.Rule("all", DIGITS),
-    "drug_interactions": ex.Rule("all", WEB),
+    "drug_interactions": ex.Rule("all", WEB, needs="://"),
 }
 
 

@@ -20,6 +20,7 @@ SCHEMA_VIOLATION = "schema_violation"
 LOW_CONFIDENCE = "low_confidence"
 
 CORRUPT = "_corrupt_record"
+STRINGS = T.ArrayType(T.StringType())
 
 Extractor = Callable[[Column], Column]
 
@@ -31,6 +32,9 @@ class Rule:
     ``section``: body of the first section whose title matches ``pattern``.
     ``first`` / ``all``: first match / distinct matches of ``pattern`` in the text.
     ``items``: the section body cut into list items at ``split``.
+
+    ``needs`` is a piece of text every match contains; texts without it are
+    told by a plain search and never reach the regular expression.
     """
 
     how: str
@@ -38,13 +42,20 @@ class Rule:
     group: int = 0
     split: str = r"[,;\n•]+"
     max_chars: int | None = None
+    needs: str | None = None
 
 
 def _apply(rule: Rule, text: Column, sections: Column | None) -> Column:
+    possible = F.contains(text, F.lit(rule.needs)) if rule.needs else None
     if rule.how == "first":
         value = F.nullif(F.regexp_extract(text, rule.pattern, rule.group), F.lit(""))
+        if possible is not None:
+            value = F.when(possible, value)
     elif rule.how == "all":
-        return F.array_distinct(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)))
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)))
+        if possible is None:
+            return found
+        return F.when(possible, found).otherwise(F.when(text.isNotNull(), F.array().cast(STRINGS)))
     else:
         if sections is None:
             raise ValueError(f"rule {rule.how!r} needs the sections")
@@ -54,7 +65,7 @@ def _apply(rule: Rule, text: Column, sections: Column | None) -> Column:
             parts = F.transform(F.split(value, rule.split), lambda p: F.trim(p))
             return F.coalesce(
                 F.array_distinct(F.filter(parts, lambda p: p != "")),
-                F.array().cast(T.ArrayType(T.StringType())),
+                F.array().cast(STRINGS),
             )
     return F.substring(value, 1, rule.max_chars) if rule.max_chars else value
 
@@ -110,9 +121,7 @@ def is_malformed(json: Column | str, parsed: Column | str) -> Column:
 
 def missing_fields(json: Column | str, required: tuple[str, ...] = REQUIRED) -> Column:
     """Required fields the payload does not name, in the order of ``required``."""
-    present = F.coalesce(
-        F.json_object_keys(as_col(json)), F.array().cast(T.ArrayType(T.StringType()))
-    )
+    present = F.coalesce(F.json_object_keys(as_col(json)), F.array().cast(STRINGS))
     return F.array_except(F.array(*[F.lit(r) for r in required]), present)
 
 

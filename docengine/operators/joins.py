@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows of a period list that may be sent to every task.
+BROADCAST_ROWS = 200_000
+
+
 def _on(keys: Sequence[str], prefix: str) -> Column:
     return reduce(and_, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
 
@@ -90,39 +94,36 @@ def interval_join(
     start: str,
     end: str,
     bucket_seconds: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows joined with the periods in force at ``ts``: ``start <= ts < end``.
 
-    A NULL ``end`` is open.  Without ``bucket_seconds`` the equality on ``on``
-    carries the join: a broadcast hash join while Spark's own estimate of the
-    periods is under its threshold, else a sort-merge join.  When one key has
-    many periods, give the length of a bucket: each period is listed under
-    every bucket it touches (at most up to the last ``ts``) and the bucket
-    number joins the key, so a row meets the periods of its own bucket only.
-    A period that spans the table costs one row per bucket; a hot bucket is
-    split by the adaptive skew handling.
+    A NULL ``end`` is open.  Keys are often few and hot, so the facts should
+    not be shuffled by key: up to ``broadcast_rows`` periods, counted first,
+    are sent out; more are joined by sort-merge, where the adaptive skew
+    handling splits the facts of a hot key.
+
+    When one key has many periods, give the length of a bucket: each period
+    is listed under every bucket it touches (inside the time span of the
+    facts) and a row meets the periods of its own bucket only.
     """
     p = periods.select(*[F.col(c).alias(f"p_{c}") if c in on else F.col(c) for c in periods.columns])
     at, begins, ends = F.col(ts), F.col(start), F.col(end)
-    inside = (begins <= at) & (ends.isNull() | (at < ends))
-    if bucket_seconds is None:
-        out = facts.join(p, _on(on, "p_") & inside)
-    else:
+    match = _on(on, "p_") & (begins <= at) & (ends.isNull() | (at < ends))
+    if bucket_seconds is not None:
         def bucket(c: Column) -> Column:
             return F.floor(F.unix_seconds(c.cast("timestamp")) / bucket_seconds)
 
-        span = facts.agg(F.struct(F.min(bucket(at)).alias("lo"), F.max(bucket(at)).alias("hi"))).scalar()
-        low = F.greatest(bucket(begins), span["lo"])
-        high = F.least(F.coalesce(bucket(ends), span["hi"]), span["hi"])
-        listed = p.withColumn(
-            "_bucket", F.explode(F.when(low <= high, F.sequence(low, high)))
-        )
-        out = (
-            facts.withColumn("_b", bucket(at))
-            .join(listed, _on(on, "p_") & (F.col("_b") == F.col("_bucket")) & inside)
-            .drop("_b", "_bucket")
-        )
-    return out.drop(*[f"p_{k}" for k in on])
+        low, high = facts.agg(F.min(bucket(at)), F.max(bucket(at))).first()
+        first = F.greatest(bucket(begins), F.lit(low).cast("bigint"))
+        last = F.least(F.coalesce(bucket(ends), F.lit(high).cast("bigint")), F.lit(high).cast("bigint"))
+        touched = F.when(first <= last, F.sequence(first, last))
+        p = p.withColumn("_bucket", F.explode(touched))
+        facts = facts.withColumn("_b", bucket(at))
+        match = match & (F.col("_b") == F.col("_bucket"))
+    if p.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        p = F.broadcast(p)
+    return facts.join(p, match).drop("_b", "_bucket", *[f"p_{k}" for k in on])
 
 
 def no_overlap_violations(

@@ -179,12 +179,14 @@ USES = [("s", "2024-01-01"), ("s", "2024-01-04"), ("s", "2024-01-05"), ("s", "20
         ("t", "2024-01-03"), ("t", "2024-01-02"), ("u", "2024-01-02"), ("s", "2023-12-31")]
 
 
+@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
 @pytest.mark.parametrize("bucket", [None, 86400, 7 * 86400, 3600 * 24 * 400])
-def test_effective_dates(spark, bucket):
+def test_effective_dates(spark, bucket, limit):
     prices = spark.createDataFrame(PRICES, "k STRING, p DOUBLE, a STRING, b STRING").select(
         "k", "p", F.col("a").cast("timestamp").alias("a"), F.col("b").cast("timestamp").alias("b"))
     uses = spark.createDataFrame(USES, "k STRING, t STRING").select("k", F.col("t").cast("timestamp").alias("t"))
-    got = joins.interval_join(uses, prices, ["k"], "t", "a", "b", bucket)
+    got = joins.interval_join(uses, prices, ["k"], "t", "a", "b", bucket, limit)
+    assert ("BroadcastHashJoin" in plan_of(got)) or limit == 0
     assert sorted((r.k, str(r.t.date()), r.p) for r in got.collect()) == [
         ("s", "2024-01-01", 1.0), ("s", "2024-01-04", 1.0), ("s", "2024-01-05", 2.0),
         ("s", "2030-01-01", 2.0), ("t", "2024-01-02", 9.0)]
