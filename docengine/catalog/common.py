@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docengine.functions.text import WHITESPACE
 from docengine.runtime import apply_settings, spread
@@ -16,9 +17,17 @@ AS_OF = "2024-01-31 00:00:00"
 SQL_WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 
 
+# Schemas seen so far: inferring one is a job of its own.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, where: str, name: str) -> DataFrame:
     apply_settings(spark)
-    return read_table(spark, where, name)
+    known = _SCHEMAS.get((where, name))
+    df = read_table(spark, where, name, known)
+    if known is None:
+        _SCHEMAS[where, name] = df.schema
+    return df
 
 
 def text_table(spark: SparkSession, where: str, name: str) -> DataFrame:

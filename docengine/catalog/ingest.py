@@ -6,10 +6,15 @@ from pyspark.sql import functions as F
 
 from docengine.catalog import query
 from docengine.catalog.common import AS_OF, sql_time, table, text_time
-from docengine.operators.ingest import daily_health, ingest_summary as summary, row_count, to_raw
+from docengine.operators.extraction import flatten_struct
+from docengine.operators.ingest import daily_health, in_batch, of_type, row_count, to_raw
+from docengine.operators.ingest import ingest_summary as summary
 from docengine.operators.joins import pending, pending_capped, side_by_side, union_all
+from docengine.operators.sections import usable_text
 from docengine.runtime import scratch_path
+from docengine.schemas import DOUBLE, TEXT, ensure_schema, layout
 from docengine.sources.files import stream_table
+from docengine.sources.tables import Snapshots, append_table, as_view, read_table
 from docengine.streaming.ingest import append_stream
 
 NUMBER_ID = r"/([0-9]+)(?:\.html|/)?(?:[?#][^/]*)?$"
@@ -127,3 +132,53 @@ def work_cap(spark, d):
     return pending_capped(
         docs, table(spark, d, "labels"), on=["doc_id"], order=["source", "doc_id"], limit=50
     )
+
+
+@query("""
+    SELECT doc_id, source, lang, n_chars FROM documents
+    WHERE lang = 'en' AND source IS NOT NULL AND source = 'src1' AND n_chars > 200
+""")
+def batch_filter(spark, d):
+    """Usable texts of one type and batch."""
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return usable_text(in_batch(of_type(docs, "en", "lang", "source"), "src1", "source"), "text").drop("text")
+
+
+DECLARED = layout(("doc_id",), doc_id=TEXT, n_chars=DOUBLE, quality=TEXT, missing=TEXT)
+
+
+@query("""
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(n_chars AS DOUBLE) AS n_chars,
+           CAST(quality AS VARCHAR) AS quality, CAST(NULL AS VARCHAR) AS missing
+    FROM documents LEFT JOIN labels USING (doc_id)
+""")
+def declared_schema(spark, d):
+    """A nested row flattened and brought to a declared layout."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    nested = docs.select("doc_id", F.struct("quality", "n_chars", "lang").alias("x"))
+    return ensure_schema(flatten_struct(nested, "x", ("doc_id",)), DECLARED)
+
+
+@query("""
+    SELECT c_custkey, c_name, c_acctbal FROM customer
+""")
+def snapshot_rebuild(spark, d):
+    """Two full rebuilds of a table; the newest version is read."""
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    kept = Snapshots(spark, scratch_path(spark, "snapshots"), customers.schema)
+    kept.write(customers.filter("c_acctbal > 0"))
+    kept.write(kept.read().unionByName(customers.filter("NOT coalesce(c_acctbal > 0, false)")))
+    return kept.read()
+
+
+@query("""
+    SELECT source, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY source
+""")
+def appended_view(spark, d):
+    """Documents appended in two batches to a partitioned table, read through a view."""
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")
+    path = scratch_path(spark, "appended")
+    append_table(docs.filter("lang = 'en'"), path, partition_by=["lang"])
+    append_table(docs.filter("lang <> 'en'"), path, partition_by=["lang"])
+    view = as_view(read_table(spark, path), "appended_documents")
+    return view.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from docengine.operators import expectations as ex
 from docengine.operators import monitoring as mon
 from docengine.operators.joins import no_overlap_violations
 from docengine.operators.model import current_flag
+from docengine.sources.contracts import load_contract
 
 RESULT = ["check_id", "target_table", "severity", "violation_count", "row_count_total"]
 
@@ -206,6 +208,33 @@ def check_runs(spark, d):
     return run.withColumns({c: text_time(c) for c in ("run_started_at", "run_finished_at")})
 
 
+CONTRACT = Path(__file__).resolve().parent / "contracts" / "documents.yaml"
+
+
+def _contract_row(check_id: str, severity: str, count: str) -> str:
+    return (f"SELECT '{check_id}' AS check_id, 'documents' AS target_table, '{severity}' AS severity, "
+            f"CAST(({count}) AS BIGINT) AS violation_count, (SELECT count(*) FROM documents) AS row_count_total")
+
+
+@query(" UNION ALL ".join([
+    *[_contract_row(f"documents__not_null__{c}", "error", f"SELECT count(*) FROM documents WHERE {c} IS NULL")
+      for c in ("doc_id", "text", "lang")],
+    _contract_row("documents__doc_id_unique", "error", _groups("doc_id", "documents")),
+    _contract_row("documents__text_unique", "warn", _groups("text", "documents")),
+    _contract_row("documents__length_declared", "error",
+                  "SELECT count(*) FROM documents WHERE NOT coalesce(n_chars = length(text), false)"),
+    _contract_row("documents__short_sources", "warn",
+                  "SELECT count(*) FROM documents WHERE source NOT IN ('src0', 'src1', 'src2', 'src3')"),
+    _contract_row("documents__labelled", "warn",
+                  "SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"),
+    _contract_row("documents__row_count", "error", "SELECT greatest(100 - count(*), 0) FROM documents"),
+]))
+def contract_checks(spark, d):
+    """The checks a YAML contract compiles to."""
+    contract = load_contract(CONTRACT)
+    return ex.check_results(CheckTables(spark, d), contract.checks()).select(*RESULT)
+
+
 @query(f"""
     SELECT o.sku_name, {sql_time("o.price_start_time")} AS price_start_time
     FROM (SELECT *, max(ends) OVER (PARTITION BY sku_name ORDER BY price_start_time, ends

@@ -147,10 +147,8 @@ def options(spark, d):
 
 
 PASSAGES = """
-    passages AS (
-        SELECT vec_id, embedding, label AS set_id, source AS drug_name, lang AS section_title, text AS chunk_text
-        FROM embeddings JOIN documents ON doc_id = vec_id
-    )"""
+    passages AS (SELECT vec_id, embedding, label AS set_id FROM embeddings),
+    shown AS (SELECT doc_id, source AS drug_name, lang AS section_title, text AS chunk_text FROM documents)"""
 CUT = "CASE WHEN length(chunk_text) > 1200 THEN substr(chunk_text, 1, 1200) || ' …' ELSE chunk_text END"
 
 
@@ -160,7 +158,8 @@ def _passage_hits(where: str = "") -> str:
 
 
 @query(f"""{_passage_hits()}
-    SELECT query_id, vec_id, score, rank, drug_name, section_title, {CUT} AS chunk_text FROM hits""")
+    SELECT query_id, vec_id, score, rank, drug_name, section_title, {CUT} AS chunk_text
+    FROM hits LEFT JOIN shown ON doc_id = vec_id""")
 def search_passages(spark, d):
     return retrieval.search_passages(passage_index(spark, d), label_queries(spark, d), **options(spark, d))
 
@@ -170,7 +169,8 @@ LARGE_SETS = """set_id IN (SELECT label FROM embeddings GROUP BY label
 
 
 @query(f"""{_passage_hits("WHERE " + LARGE_SETS)}
-    SELECT query_id, vec_id, score, rank, drug_name, section_title, {CUT} AS chunk_text FROM hits""")
+    SELECT query_id, vec_id, score, rank, drug_name, section_title, {CUT} AS chunk_text
+    FROM hits LEFT JOIN shown ON doc_id = vec_id""")
 def search_within(spark, d):
     """Only passages of the sets that are larger than the average set."""
     sizes = vectors(spark, d).groupBy(F.col("label").alias("set_id")).agg(F.count("*").alias("n"))
@@ -179,8 +179,9 @@ def search_within(spark, d):
 
 
 @query(f"""{_passage_hits()}
-    SELECT query_id, string_agg(line, chr(10) ORDER BY line) AS sources
-    FROM (SELECT DISTINCT query_id, drug_name || ' — ' || section_title AS line FROM hits) GROUP BY query_id""")
+    SELECT query_id, coalesce(string_agg(line, chr(10) ORDER BY line), '') AS sources
+    FROM (SELECT DISTINCT query_id, drug_name || ' — ' || section_title AS line
+          FROM hits LEFT JOIN shown ON doc_id = vec_id) GROUP BY query_id""")
 def citations(spark, d):
     hits = retrieval.search_passages(passage_index(spark, d), label_queries(spark, d), **options(spark, d))
     return retrieval.citations(hits)

@@ -111,9 +111,10 @@ def citations(hits: DataFrame, query_id: str = "query_id", name_col: str = "drug
               section_col: str = "section_title", out: str = "sources") -> DataFrame:
     """``<name> — <section>`` lines of the hits of every query, distinct and sorted.
 
-    A query has at most k hits, so the collected set is bounded.
+    Hits without a name or section are not cited.  A query has at most k hits,
+    so the collected set is bounded.
     """
-    line = F.concat_ws(" — ", name_col, section_col)
+    line = F.concat(name_col, F.lit(" — "), section_col)
     return hits.groupBy(query_id).agg(
         F.array_join(F.array_sort(F.collect_set(line)), "\n").alias(out)
     )

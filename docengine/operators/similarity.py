@@ -140,11 +140,14 @@ def similarity_topk(
 
 
 def with_columns(hits: DataFrame, index: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
-    """Fetch display columns for the few hits instead of carrying them through the scoring."""
+    """Fetch display columns for the few hits instead of carrying them through the scoring.
+
+    A hit without a display row stays, with NULLs.
+    """
     if not cols:
         return hits
     wanted = index.select(id_col, *[c for c in cols if c != id_col])
-    return hits.join(wanted, id_col).select(*hits.columns, *[c for c in cols if c != id_col])
+    return hits.join(wanted, id_col, "left").select(*hits.columns, *[c for c in cols if c != id_col])
 
 
 def _held_queries(queries: DataFrame, query_id: str, query_vec: str, unit: bool):

@@ -11,11 +11,16 @@ from docengine.runtime import hadoop_path, list_dirs, path_exists
 from docengine.schemas import empty, ensure_schema
 
 
-def read_table(spark: SparkSession, where: str, name: str | None = None) -> DataFrame:
-    """Parquet table by path or folder + name; anything without a slash is a catalog table."""
-    if name is not None:
-        return spark.read.parquet(f"{where.rstrip('/')}/{name}.parquet")
-    return spark.read.parquet(where) if "/" in where else spark.table(where)
+def read_table(spark: SparkSession, where: str, name: str | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
+    """Parquet table by path or folder + name; anything without a slash is a catalog table.
+
+    A declared ``schema`` saves the job that would infer it.
+    """
+    if name is None and "/" not in where:
+        return spark.table(where)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(where if name is None else f"{where.rstrip('/')}/{name}.parquet")
 
 
 def lookup_df(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
