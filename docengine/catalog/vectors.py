@@ -77,17 +77,15 @@ def similarity_topk(spark, d):
 
 
 @query(f"""
-    WITH {_ranked('''
-        SELECT q.vec_id AS query_id, v.vec_id,
-               round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score
-        FROM embeddings v CROSS JOIN embeddings q''', 3)}
+    WITH {CENTROIDS},
+    {_ranked(f"SELECT query_id, vec_id, {SCORE} AS score FROM embeddings CROSS JOIN queries", 3)}
     SELECT query_id, vec_id, score, rank FROM hits
 """)
 def similarity_tiled(spark, d):
-    """Every vector against every vector, joined tile by tile: the way for large query sets."""
-    index = vectors(spark, d)
-    queries = index.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
-    return sim.similarity_topk(index, queries, 3, "vec_id", "embedding", max_query_bytes=0)
+    """Joined tile by tile: the way for query sets that are too large to send out."""
+    return sim.similarity_topk(
+        vectors(spark, d), label_queries(spark, d), 3, "vec_id", "embedding", max_query_bytes=0
+    )
 
 
 def _plane_sql(vec: str) -> str:

@@ -43,15 +43,27 @@ def _committed(spark: SparkSession, path: str, kind: str) -> list[int]:
 
 
 def current_index(spark: SparkSession, path: str, key: str = "chunk_id") -> DataFrame:
-    """Newest row of every key that has not been deleted."""
+    """Newest row of every key that has not been deleted.
+
+    Only the batches since the base are reduced to one row per key.  The base
+    holds each key once; it is filtered by the keys that changed since, and
+    its vectors are not shuffled while those keys are few.
+    """
     bases = _committed(spark, path, "base")
-    base = bases[-1] if bases else -1
-    parts = [f"{path}/batch={n}" for n in _committed(spark, path, "batch") if n > base]
-    if bases:
-        parts.append(f"{path}/base={base}")
+    since = [n for n in _committed(spark, path, "batch") if not bases or n > bases[-1]]
+    if not bases and not since:
+        raise FileNotFoundError(f"no committed batch under {path}")
+    base = spark.read.parquet(f"{path}/base={bases[-1]}") if bases else None
+    if not since:
+        return base.drop("batch_no", "deleted")
     # One scan, however many batches there are.
-    log = spark.read.parquet(*parts)
-    return best_row(log, [key], [F.desc("batch_no")]).filter(~F.col("deleted")).drop("batch_no", "deleted")
+    log = spark.read.parquet(*[f"{path}/batch={n}" for n in since])
+    newest = best_row(log, [key], [F.desc("batch_no")])
+    rows = newest.filter(~F.col("deleted"))
+    if base is not None:
+        changed = newest.select(F.col(key).alias("_changed"))
+        rows = rows.unionByName(base.join(changed, F.col(key) == F.col("_changed"), "left_anti"))
+    return rows.drop("batch_no", "deleted")
 
 
 def compact(spark: SparkSession, path: str, key: str = "chunk_id") -> int:

@@ -214,6 +214,9 @@ def test_index_follows_a_stream_of_changes(spark, tmp_path):
     assert rows(current_index(spark, index).select("chunk_id", "chunk_text", "embedding")) == after
     assert compact(spark, index) == 1
     assert push([("d", "q", 7, "insert")]) == after + [("d", "q", [1.0])]
+    assert push([("b", "", 8, "delete"), ("c", "z", 9, "update")]) == [("c", "z", [1.0]), ("d", "q", [1.0])]
+    with pytest.raises(FileNotFoundError):
+        current_index(spark, str(tmp_path / "nothing"))
 
 
 def test_injected_extractor_may_be_an_arrow_function(spark):
