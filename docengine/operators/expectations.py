@@ -262,11 +262,13 @@ def check_results(tables: Tables, checks: Sequence[Check]) -> DataFrame:
     return union_all(frames)
 
 
+# Fixed value: wording of a violation in the log.
+VIOLATED = "{bad} of {total} rows violated this assertion"
+
+
 def message() -> Column:
-    return F.concat(
-        F.col("violation_count").cast("string"), F.lit(" of "),
-        F.col("row_count_total").cast("string"), F.lit(" rows violated this assertion"),
-    )
+    wording = VIOLATED.format(bad="%d", total="%d")
+    return F.format_string(wording, "violation_count", "row_count_total")
 
 
 def violations_of(results: DataFrame, run_id: str, as_of: Column) -> DataFrame:
@@ -316,7 +318,7 @@ def run_checks(spark: SparkSession, tables: Tables, checks: Sequence[Check], run
     found = []
     for r in rows:
         if r.violation_count > 0:
-            text = f"{r.violation_count} of {r.row_count_total} rows violated this assertion"
+            text = VIOLATED.format(bad=r.violation_count, total=r.row_count_total)
             found.append((r.check_id, r.target_table, r.layer, r.severity, r.violation_count,
                           r.row_count_total, text, run_id, finished))
     for c in checks:

@@ -1,5 +1,8 @@
 """Parser and chunker against hand-worked rows and a plain-Python restatement of the rules."""
 
+import math
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -53,21 +56,24 @@ def test_xml_to_text_on_spark(spark):
     assert got == {1: "## A\n\nx\n\n## B", 2: None, 3: None, 4: None}
 
 
+def spans(size, most, overlap):
+    """Start and end of every window of a body."""
+    extra = math.ceil(max(0, size - most) / (most - overlap))
+    return [(n * (most - overlap), n * (most - overlap) + most) for n in range(extra + 1)]
+
+
 def model(text, most, overlap, least):
-    """The chunk rules, restated for one text."""
+    """The chunk rules, restated for one text with regular expressions."""
     out = []
-    for n, piece in enumerate(text.split("\n\n## ")) if text else ():
-        head, _, rest = piece.partition("\n")
-        title, body = (head.strip().lstrip("# ").strip() or "UNTITLED"), rest.strip()
-        if n == 0 and not piece.lstrip().startswith("## "):
-            title, body = "PREAMBLE", piece.strip()
-        windows, at = [], 0
-        while len(body) >= least:
-            windows.append(body[at : at + most])
-            if at + most >= len(body):
-                break
-            at += most - overlap
-        out += [(title, w) for w in windows if len(w) >= least]
+    for n, piece in enumerate(re.split(r"\n\n## ", text)) if text else ():
+        title, body = "PREAMBLE", piece
+        if n > 0 or re.match(r"\s*## ", piece):
+            line, rest = re.match(r"(?s)([^\n]*)\n?(.*)", piece).groups()
+            title, body = re.sub(r"\A\s*[# ]*\s*|\s+\Z", "", line) or "UNTITLED", rest
+        body = re.sub(r"\A\s+|\s+\Z", "", body)
+        if len(body) >= least:
+            windows = [body[a:b] for a, b in spans(len(body), most, overlap)]
+            out += [(title, w) for w in windows if len(w) >= least]
     return out
 
 
