@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,16 +42,42 @@ def session(app: str = "docengine", master: str | None = None, **conf: str) -> S
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Apply the engine's settings to a session made by somebody else."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per Spark context.
+
+    Functions that run there are pickled by reference, so executors that have
+    no installed copy need the modules.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_docengine_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    if package.is_dir():  # not when the package itself was imported from an archive
+        # Local executors read the archive from where it was added, so it stays until the process ends.
+        folder = tempfile.mkdtemp(prefix=f"{package.name}-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = f"{folder}/{package.name}.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(package.rglob("*")):
+                if f.is_file() and "__pycache__" not in f.parts:
+                    z.write(f, f.relative_to(package.parent))
+        context.addPyFile(archive)
+    context._docengine_shipped = True
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's checkpoint folder.
 
