@@ -5,25 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docengine.llm import packing, token_counts
+from docengine.llm import line_templates, packing, pii, token_counts, toxicity
 from docengine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Pseudonyms of the registered query; a real run brings its own secret.
+PII_KEY = b"key of the registered query"
+
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[build.__name__] = build
     return build
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id", "expected_severity", "grade", "p_toxic", (F.col("grade") > 0).alias("toxic"))
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymized(docs, PII_KEY).select(
+        "doc_id", "text", F.size("pii_values").cast("long").alias("n_values"), "pii_values")
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.without_templates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op8_line_templates"] = line_templates.QUERY_SQL
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_table(token_counts.histogram(table(spark, sf_dir, "documents")))

@@ -9,6 +9,7 @@ last; the ids are those of ``Tokenizer.encode`` (tested against it).
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from docengine.llm.common import text_column, texts
 
 TOKENIZER = "word_bpe_49k.json"
-MEMO = 150_000  # parts a worker keeps in each of two generations
+MEMO = 300_000  # parts a worker keeps in each of two generations
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -58,28 +59,30 @@ class Encoder(dict):
         return ids
 
     def _encode(self, part: str) -> bytes:
-        if part[-1:] in (".", ",") and part[:-1].isalpha():
-            return self[part[:-1]] + self._whole(part[-1])
         # One run of plain Latin letters is one token word: no need for the
-        # normalizer and the splitting expression.
-        if part.isalpha() and max(part) < "ƀ":
-            lower = part.lower()
-            if len(lower) == len(part) and max(lower) < "ƀ":
-                word = lower.encode().decode("latin-1").translate(self.letters)
-                return _packed([t.id for t in self.model.tokenize(word)])
+        # normalizer and the splitting expression, and case does not matter.
+        if part.isalpha():
+            if part.isascii():
+                lower = part.lower()
+            elif max(part) < "ƀ" and len(lower := part.lower()) == len(part) and max(lower) < "ƀ":
+                pass
+            else:
+                return self._whole(part)
+            if lower != part:
+                return self[lower]
+            word = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        if part[-1:] in (".", ",") and part[:-1].isalpha():
+            return self[part[:-1].lower() if part.isascii() else part[:-1]] + self[part[-1]]
         return self._whole(part)
 
     def _whole(self, part: str) -> bytes:
-        return _packed(self.tokenizer.encode(part, add_special_tokens=False).ids) if part else b""
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes() if part else b""
 
     def text(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
