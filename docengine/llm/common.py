@@ -84,3 +84,8 @@ def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
 
 def text_column(record: pa.RecordBatch, name: str = "text") -> list:
     return record.column(record.schema.get_field_index(name)).to_pylist()
+
+
+def small_side(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
+    """``df``, to be sent to every task if its counted rows fit ``limit``; else joined by a shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docengine.llm import decontamination, line_templates, packing, pii, token_counts, toxicity
+from docengine.llm import decontamination, line_templates, near_duplicates, packing, pii, token_counts, toxicity
 from docengine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_line_templates"] = line_templates.QUERY_SQL
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), similar=(85, 100))
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
