@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -89,3 +90,9 @@ def text_column(record: pa.RecordBatch, name: str = "text") -> list:
 def small_side(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
     """``df``, to be sent to every task if its counted rows fit ``limit``; else joined by a shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished work go: Spark drops them once both sides have forgotten its plans."""
+    gc.collect()
+    spark._jvm.System.gc()

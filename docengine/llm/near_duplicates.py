@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -36,13 +37,29 @@ from pyspark.sql import functions as F
 from docengine.llm.common import Scratch, batch, mix, prepare, small_side, text_column, texts
 
 WORDS = 5
-BANDS, ROWS = 32, 5
-HASHES = BANDS * ROWS
 SMALL = 8
 SIMILAR = (80, 100)   # intersection / union at least 80 / 100
 ROOM = 6              # standard deviations of the signature's estimate that a candidate may fall short
 CHUNK = 1 << 15       # shingles hashed at once
 
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a packed signature is laid out: minima of ``dtype``, of which bands of ``rows`` are read."""
+
+    hashes: int
+    bands: int
+    rows: int
+    dtype: str
+
+    @property
+    def band_bytes(self) -> int:
+        return self.rows * np.dtype(self.dtype).itemsize
+
+
+LAYOUT = Layout(hashes=160, bands=32, rows=5, dtype="<u4")
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 MEMO = 200_000
@@ -116,7 +133,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     set_key is equal for equal sets and null, as is the signature, for empty ones.
     """
-    multiply, add = coefficients(HASHES)
+    multiply, add = coefficients(LAYOUT.hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -133,21 +150,22 @@ def signed(docs: DataFrame) -> DataFrame:
         run, "doc_id long, text_key binary, n_shingles long, set_key binary, signature binary")
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
+def buckets(nodes: DataFrame, layout: Layout) -> DataFrame:
     """(bucket, node) for all bands; a bucket is a band's rows, hashed with its number."""
-    width = 4 * ROWS
-    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(BANDS)))
+    width = layout.band_bytes
+    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width))
+                      for i in range(layout.bands)))
     return nodes.select("node", F.explode(bands).alias("bucket"))
 
 
-def verified(pairs: DataFrame, held: DataFrame, similar: tuple[int, int]) -> DataFrame:
+def verified(pairs: DataFrame, held: DataFrame, similar: tuple[int, int], layout: Layout) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough; ``held`` has (node, signature, text).
 
     First by signature: narrow rows; then by the sets, made from the texts
     of the pairs that are left.
     """
     share = similar[0] / similar[1]
-    least = int(HASHES * (share - ROOM * (share * (1 - share) / HASHES) ** 0.5))
+    least = int(layout.hashes * (share - ROOM * (share * (1 - share) / layout.hashes) ** 0.5))
     signatures = held.select("node", "signature")
     both = (pairs.join(signatures.withColumnsRenamed({"node": "a", "signature": "sa"}), "a")
             .join(signatures.withColumnsRenamed({"node": "b", "signature": "sb"}), "b"))
@@ -158,7 +176,7 @@ def verified(pairs: DataFrame, held: DataFrame, similar: tuple[int, int]) -> Dat
             if not b.num_rows:
                 continue
             a_id, b_id, sa, sb = (b.column(b.schema.get_field_index(c)) for c in ("a", "b", "sa", "sb"))
-            x, y = (np.frombuffer(b"".join(s.to_pylist()), "<u4").reshape(-1, HASHES) for s in (sa, sb))
+            x, y = (np.frombuffer(b"".join(s.to_pylist()), layout.dtype).reshape(-1, layout.hashes) for s in (sa, sb))
             keep = pa.array((x == y).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([a_id.filter(keep), b_id.filter(keep)], schema=alike)
 
@@ -229,13 +247,14 @@ def joined(members: DataFrame, component: DataFrame | None) -> DataFrame:
         "bucket", "node", F.coalesce("component", "node").alias("component"))
 
 
-def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int]) -> DataFrame | None:
+def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
+           layout: Layout = LAYOUT) -> DataFrame | None:
     """(node, component) of the nodes with links; None if there are none.
 
     ``nodes`` has (node, doc_id, text_key, signature), a row per distinct set:
     the id and text of one of its documents.
     """
-    found = buckets(nodes)
+    found = buckets(nodes, layout)
     sizes = found.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = scratch.write(found.join(sizes, "bucket"), "members")
     asked = scratch.write(nodes.join(members.select("node").distinct(), "node", "left_semi"), "asked")
@@ -269,7 +288,7 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
         pairs = scratch.write(pairs.distinct(), f"pairs-{step}")
         if not pairs.take(1):
             break
-        links.append(scratch.write(verified(pairs, held, similar), f"links-{step}"))
+        links.append(scratch.write(verified(pairs, held, similar, layout), f"links-{step}"))
         component = components(reduce(DataFrame.union, links), scratch, f"components-{step}")
         rest = rest.select("bucket", "node").join(
             chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
@@ -278,6 +297,26 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
     return component
 
 
+def grouped(rows: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
+            layout: Layout = LAYOUT) -> DataFrame:
+    """(set_key, component_id) of the keys in ``rows`` (doc_id, text_key, set_key, signature)."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
+    classes = (rows.where(F.col("set_key").isNotNull()).groupBy("set_key")
+               .agg(first, F.first("signature").alias("signature"))
+               .select("set_key", F.monotonically_increasing_id().alias("node"), "first.doc_id", "first.text_key",
+                       "signature"))
+    classes = scratch.write(classes, "classes")  # once written, the numbers stay
+    component = linked(classes.select("node", "doc_id", "text_key", "signature"), keyed_docs, scratch, similar, layout)
+    named = classes.select("set_key", "node", F.col("doc_id").alias("first_id"))
+    if component is None:
+        named = named.withColumn("component_id", F.col("first_id"))
+    else:
+        named = named.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+        named = named.join(least, "component")
+    return scratch.write(named.select("set_key", "component_id"), "named")
+
+
 def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -291,20 +330,7 @@ def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> Data
     scratch = Scratch(spark, "near-duplicates")
     own = keyed(docs)
     rows = scratch.write(signed(own), "signed")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
-    classes = (rows.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(first, F.first("signature").alias("signature"))
-               .select("set_key", F.monotonically_increasing_id().alias("node"), "first.doc_id", "first.text_key",
-                       "signature"))
-    classes = scratch.write(classes, "classes")  # once written, the numbers stay
-    component = linked(classes.select("node", "doc_id", "text_key", "signature"), own, scratch, similar)
-    named = classes.select("set_key", "node", F.col("doc_id").alias("first_id"))
-    if component is None:
-        named = named.withColumn("component_id", F.col("first_id"))
-    else:
-        named = named.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        named = named.join(least, "component")
-    named = scratch.write(named.select("set_key", "component_id"), "named")
+    named = grouped(rows, own, scratch, similar)
     found = rows.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     ids = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", "n_shingles", ids.alias("component_id"), F.col("doc_id").eqNullSafe(ids).alias("kept"))

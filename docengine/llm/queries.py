@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docengine.llm import decontamination, line_templates, near_duplicates, packing, pii, token_counts, toxicity
+from docengine.llm import decontamination, fingerprints, line_templates, near_duplicates, packing, pii, token_counts, toxicity
 from docengine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_table(token_counts.histogram(table(spark, sf_dir, "documents")))
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
