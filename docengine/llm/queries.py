@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docengine.llm import decontamination, fingerprints, line_templates, near_duplicates, packing, pii, token_counts, toxicity
+from docengine.llm import decontamination, fingerprints, line_templates, near_duplicates, packing, pii, repeats, token_counts, toxicity
 from docengine.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.size("pii_values").cast("long").alias("n_values"), "pii_values")
 
 
+@query
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(
