@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,13 @@ class Scratch:
          .partitionBy(*partition_by).parquet(path))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, name: str, column: str, parts: int) -> DataFrame:
+        """A table bucketed by ``column``: what is joined to it by that column comes to it."""
+        label = f"{name}_{uuid.uuid4().hex}"
+        (df.write.option("compression", "zstd").option("parquet.block.size", 32 << 20)
+         .option("path", f"{self.root}/{name}").bucketBy(parts, column).saveAsTable(label))
+        return self.spark.table(label)
+
     def drop(self, *names: str) -> None:
         for name in names:
             delete_path(self.spark, f"{self.root}/{name}")
@@ -96,3 +104,11 @@ def release(spark: SparkSession) -> None:
     """Let the shuffle files of finished work go: Spark drops them once both sides have forgotten its plans."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def sorted_ranges(values: np.ndarray, shift: int) -> Iterator[tuple[int, int, int]]:
+    """(range, first, last) of ascending 64-bit values by their bits from ``shift`` on."""
+    ranges = values >> np.uint64(shift) if shift < 64 else np.zeros(len(values), np.uint64)
+    starts = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(ranges) else np.zeros(0, int)
+    for a, z in zip(starts, [*starts[1:], len(ranges)]):
+        yield int(ranges[a]), int(a), int(z)

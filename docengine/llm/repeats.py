@@ -28,7 +28,6 @@ bucketed by number: the bits go to them, the texts stay.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, batch, prepare, release, shards, text_column, texts
+from docengine.llm.common import Scratch, batch, prepare, release, shards, sorted_ranges, text_column, texts
 
 LENGTH = 50
 PERIOD = 31
@@ -86,12 +85,11 @@ def names(text: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def pack_blocks(docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def pack_blocks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Blocks (block, doc_ids, lengths, body) in the order of doc_id, bucketed by block.
 
     A null doc_id is before all; rows that share an id share a block.
     """
-    spark = docs.sparkSession
     schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                         ("body", pa.binary())])
 
@@ -119,12 +117,10 @@ def pack_blocks(docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
     own = texts(docs)
     held = own.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    parts = max(shards(spark), -(-held // (4 * BLOCK)))
+    parts = max(shards(docs.sparkSession), -(-held // (4 * BLOCK)))
     blocks = (own.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
               .mapInArrow(run, "block long, doc_ids array<long>, lengths array<long>, body binary"))
-    (blocks.write.option("compression", "zstd").option("parquet.block.size", 32 << 20)
-     .option("path", f"{scratch.root}/{name}").bucketBy(parts, "block").saveAsTable(name))
-    return spark.table(name)
+    return scratch.bucketed(blocks, "blocks", "block", parts)
 
 
 class Block:
@@ -185,14 +181,6 @@ _MASK = pa.schema([("block", pa.int64()), ("mask", pa.binary())])
 SENT = "bucket long, block long, names binary, marks binary"
 
 
-def _ranges(distinct: np.ndarray, shift: int) -> Iterator[tuple[int, int, int]]:
-    """(range, first, last) of sorted names by their leading bits."""
-    buckets = distinct >> np.uint64(shift) if shift < 64 else np.zeros(len(distinct), np.uint64)
-    starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(buckets) else np.zeros(0, int)
-    for a, z in zip(starts, [*starts[1:], len(buckets)]):
-        yield int(buckets[a]), int(a), int(z)
-
-
 def _answer(pdf: pd.DataFrame, dtype: str, earlier_only: bool) -> pd.DataFrame:
     """For the blocks of a range: which of their names other (or earlier) blocks have, as packed bits."""
     pdf = pdf.sort_values("block", kind="stable")
@@ -229,7 +217,7 @@ def _unpacked(distinct: np.ndarray, shift: int, bits: list | None) -> np.ndarray
     """A mark for each distinct name, from the answers of its ranges."""
     found = {r["bucket"]: r["bits"] for r in bits or ()}
     out = np.zeros(len(distinct), bool)
-    for bucket, a, z in _ranges(distinct, shift):
+    for bucket, a, z in sorted_ranges(distinct, shift):
         out[a:z] = np.unpackbits(np.frombuffer(found[bucket], np.uint8), count=z - a).astype(bool)
     return out
 
@@ -258,8 +246,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Memory is bounded by a block or the longest document.
     """
     spark = prepare(docs.sparkSession)
-    scratch, table = Scratch(spark, "repeats"), f"repeats_{uuid.uuid4().hex}"
-    blocks = pack_blocks(docs, scratch, table)
+    scratch = Scratch(spark, "repeats")
+    blocks = pack_blocks(docs, scratch)
     release(spark)
     total = blocks.agg(F.sum(F.octet_length("body")).alias("n")).first()["n"] or 0
     bits = max(0, (total * len(COVER) // PERIOD // KEYS).bit_length())      # ranges of sampled names: 2 ** bits
@@ -268,7 +256,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, block in _blocks(batches):
             distinct, _, marks = block.repeated_here(*block.sample_names(bits), first_stays=False)
-            cut = list(_ranges(distinct, 32))
+            cut = list(sorted_ranges(distinct, 32))
             yield batch({"bucket": [k for k, _, _ in cut], "block": [r["block"]] * len(cut),
                          "names": [(distinct[a:z] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for _, a, z in cut],
                          "marks": [np.packbits(marks[a:z]).tobytes() for _, a, z in cut]}, _SENT)
@@ -290,7 +278,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             for r, block in _blocks(batches):
                 own = block.whole_names(r["mask"])[1]
                 distinct = np.unique(own[own % np.uint64(PARTS) == part])
-                cut = list(_ranges(distinct, 64 - wide))
+                cut = list(sorted_ranges(distinct, 64 - wide))
                 yield batch({"bucket": [k for k, _, _ in cut], "block": [r["block"]] * len(cut),
                              "names": [distinct[a:z].astype("<u8").tobytes() for _, a, z in cut],
                              "marks": [b""] * len(cut)}, _SENT)
