@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docengine.catalog import query
-from docengine.catalog.common import DIGITS, EMAIL, WEB, chunk_sql, sql_strip, table, text_table
-from docengine.functions.text import render_prompt as prompt_of
+from docengine.catalog.common import DIGITS, EMAIL, WEB, chunk_sql, sql_strip, table
+from docengine.functions.text import render_prompts
 from docengine.operators import chunker, extraction as ex
 from docengine.operators.model import best_row
 from docengine.operators.monitoring import score_histogram as histogram
@@ -49,14 +49,14 @@ PAGE_SECTIONS = rf"""
 
 
 def page_texts(spark, d):
-    pages = text_table(spark, d, "pages").select("page_id", "html")
+    pages = table(spark, d, "pages").select("page_id", "html")
     parsed = parse_sections(pages, "html", kind="html")
     return parsed.select("page_id", sections_to_text("sections").alias("full_text"))
 
 
 @query(f"WITH {PAGE_SECTIONS} SELECT page_id, ord, title, body FROM sections")
 def html_sections(spark, d):
-    pages = text_table(spark, d, "pages").select("page_id", "html")
+    pages = table(spark, d, "pages").select("page_id", "html")
     return explode_sections(parse_sections(pages, "html", kind="html"), keep=("page_id",))
 
 
@@ -79,7 +79,7 @@ DOCS = "SELECT doc_id AS id, text FROM documents"
 
 
 def document_chunks(spark, d, keep=()):
-    docs = text_table(spark, d, "documents").select("doc_id", "text", *keep)
+    docs = table(spark, d, "documents").select("doc_id", "text", *keep)
     return chunker.chunk(docs, "doc_id", "text", keep)
 
 
@@ -99,7 +99,7 @@ def chunk_windows(spark, d):
 """)
 def chunk_windows_dense(spark, d):
     """Overlap beyond the stride: a window spans several strides."""
-    docs = text_table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return chunker.chunk(docs, "doc_id", "text", max_chars=300, overlap=200, min_chars=150).select(
         "doc_id", "chunk_index", "chunk_text"
     )
@@ -121,7 +121,7 @@ def chunk_stats(spark, d):
 """)
 def dedup_texts(spark, d):
     """One document per text; copies are told by their digest, so no text is shuffled."""
-    docs = text_table(spark, d, "documents").select(F.md5("text").alias("text_md5"), "doc_id", "n_chars")
+    docs = table(spark, d, "documents").select(F.md5("text").alias("text_md5"), "doc_id", "n_chars")
     return best_row(docs, ["text_md5"], [F.asc("doc_id")])
 
 
@@ -146,14 +146,18 @@ def chunk_preview(spark, d):
 
 
 @query("""
-    SELECT doc_id, md5('Read the text.' || chr(10) || substr(text, 1, 24000)) AS prompt_md5,
-           CAST(length('Read the text.' || chr(10) || substr(text, 1, 24000)) AS INTEGER) AS prompt_chars
-    FROM documents
+    WITH windows AS (
+        SELECT doc_id, text, unnest(generate_series(0, greatest(0, CAST(ceil(length(text) / 2000.0) AS BIGINT) - 1))) AS n
+        FROM documents
+    ),
+    prompts AS (SELECT doc_id, n, 'Read the text.' || chr(10) || substr(text, n * 2000 + 1, 2000) AS prompt FROM windows)
+    SELECT doc_id, CAST(n AS INTEGER) AS n, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_chars
+    FROM prompts
 """)
 def render_prompt(spark, d):
-    prompt = prompt_of("text", "Read the text.\n")
-    docs = text_table(spark, d, "documents").select("doc_id", prompt.alias("prompt"))
-    return docs.select("doc_id", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("prompt_chars"))
+    prompts = render_prompts("text", "Read the text.\n", size=2000)
+    docs = table(spark, d, "documents").select("doc_id", F.posexplode(prompts).alias("n", "prompt"))
+    return docs.select("doc_id", "n", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("prompt_chars"))
 
 
 @query("""
@@ -197,7 +201,7 @@ RULES = {
 
 def extracted_documents(spark, d):
     """Payload found by rules in the whole text, parsed back to types."""
-    docs = text_table(spark, d, "documents").select("doc_id", "n_chars", "text")
+    docs = table(spark, d, "documents").select("doc_id", "n_chars", "text")
     with_json = ex.extract(docs, ex.rule_extractor(RULES, "text")).drop("text")
     return with_json.withColumn("x", ex.parse_payload("extraction_json"))
 

@@ -15,7 +15,8 @@ from docengine.operators import expectations as ex
 from docengine.operators import monitoring as mon
 from docengine.operators.joins import no_overlap_violations
 from docengine.operators.model import current_flag
-from docengine.sources.contracts import load_contract
+from docengine.plans.trust import declared_checks
+from docengine.sources.contracts import Contract, load_contract
 
 RESULT = ["check_id", "target_table", "severity", "violation_count", "row_count_total"]
 
@@ -383,8 +384,8 @@ PRICED = f"""
     )"""
 BY_JOB = f"""
     WITH {PRICED}
-    SELECT CAST(ts AS DATE) AS usage_date, job_name, CAST(round(sum(CAST(value AS DECIMAL(12, 6))), 2) AS DOUBLE) AS dbus_consumed,
-           CAST(round(sum(CAST(value AS DECIMAL(12, 6)) * CAST(list_price AS DECIMAL(12, 6))), 2) AS DOUBLE)
+    SELECT CAST(ts AS DATE) AS usage_date, job_name, CAST(round(sum(CAST(value AS DECIMAL(21, 8))), 2) AS DOUBLE) AS dbus_consumed,
+           CAST(round(sum(CAST(value AS DECIMAL(21, 8)) * CAST(list_price AS DECIMAL(16, 12))), 2) AS DOUBLE)
                AS estimated_cost_usd
     FROM priced GROUP BY ALL"""
 
@@ -402,10 +403,44 @@ def cost_by_job_bucketed(spark, d):
 
 @query(f"""
     WITH {PRICED}
-    SELECT regexp_extract(job_name, '{STAGE}', 1) AS stage, CAST(round(sum(CAST(value AS DECIMAL(12, 6)) * CAST(list_price AS DECIMAL(12, 6))), 2) AS DOUBLE)
+    SELECT regexp_extract(job_name, '{STAGE}', 1) AS stage, CAST(round(sum(CAST(value AS DECIMAL(21, 8)) * CAST(list_price AS DECIMAL(16, 12))), 2) AS DOUBLE)
                AS cost_usd_14d,
-           CAST(round(sum(CAST(value AS DECIMAL(12, 6))), 2) AS DOUBLE) AS dbus_14d
+           CAST(round(sum(CAST(value AS DECIMAL(21, 8))), 2) AS DOUBLE) AS dbus_14d
     FROM priced GROUP BY 1
 """)
 def cost_by_stage(spark, d):
     return mon.cost_by_stage(usage_of(spark, d), prices_of(spark, d), "docs-", STAGE, 14, AS_OF)
+
+
+@query(BY_JOB.replace("CAST(list_price AS DECIMAL(16, 12))", "CAST(list_price / 10000000 AS DECIMAL(16, 12))")
+       .replace("CAST(value AS DECIMAL(21, 8))", "CAST(value * 1000000 AS DECIMAL(21, 8))"))
+def cost_small_prices(spark, d):
+    """Large quantities at prices far below a cent."""
+    usage = usage_of(spark, d).withColumn("usage_quantity", F.col("usage_quantity") * 1000000)
+    prices = prices_of(spark, d).withColumn("list_price", F.col("list_price") / 10000000)
+    return mon.cost_by_job(usage, prices, "docs-", 14, AS_OF)
+
+
+DECLARED = [
+    {"name": "doc_id", "type": "BIGINT", "nullable": False},
+    {"name": "text", "type": "STRING", "nullable": False},
+    {"name": "lang", "type": "INTEGER"},
+    {"name": "licence", "type": "STRING"},
+]
+
+
+@query("""
+    SELECT 'documents__declared_schema' AS check_id, CAST(2 AS BIGINT) AS violation_count, CAST(4 AS BIGINT) AS row_count_total
+    FROM (SELECT count(*) FROM documents)
+    UNION ALL
+    SELECT 'documents__' || c || '_declared_not_null',
+           CAST(CASE c WHEN 'doc_id' THEN no_id ELSE no_text END AS BIGINT), n
+    FROM (SELECT count(*) FILTER (doc_id IS NULL) AS no_id, count(*) FILTER (text IS NULL) AS no_text, count(*) AS n
+          FROM documents), (SELECT unnest(['doc_id', 'text']) AS c)
+""")
+def contract_schema(spark, d):
+    """Declared against actual columns: one has another type, one is missing."""
+    contract = Contract("documents", columns=DECLARED)
+    tables = {"documents": table(spark, d, "documents")}
+    return ex.check_results(tables, declared_checks(contract, tables)).select(
+        "check_id", "violation_count", "row_count_total")

@@ -82,9 +82,9 @@ def similarity_topk(spark, d):
     SELECT query_id, vec_id, score, rank FROM hits
 """)
 def similarity_tiled(spark, d):
-    """Joined tile by tile: the way for query sets that are too large to send out."""
+    """In slices of a few queries: the way for query sets that are too large to send out at once."""
     return sim.similarity_topk(
-        vectors(spark, d), label_queries(spark, d), 3, "vec_id", "embedding", max_query_bytes=0
+        vectors(spark, d), label_queries(spark, d), 3, "vec_id", "embedding", max_query_bytes=2048
     )
 
 

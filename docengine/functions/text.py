@@ -90,9 +90,16 @@ def chunk_key(doc_id: Column | str, n: Column | str, version: Column | str | Non
     return F.concat(parts[0], F.lit("_"), tag, parts[1])
 
 
-def render_prompt(c: Column | str, template: str, limit: int = 24000) -> Column:
-    """Instruction text followed by at most ``limit`` characters of the document."""
-    return F.concat(F.lit(template), F.substring(as_col(c), 1, limit))
+def render_prompts(c: Column | str, template: str, size: int = 24000) -> Column:
+    """Array of prompts, one per ``size`` characters: the instruction text and that part of the document.
+
+    Together the prompts render the whole text; an empty one gives a single
+    prompt without text, NULL gives NULL.
+    """
+    # Cut in one pass: a substring from the start of the text per window would be quadratic.
+    parts = F.regexp_extract_all(as_col(c), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    parts = F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))
+    return F.when(as_col(c).isNotNull(), F.transform(parts, lambda p: F.concat(F.lit(template), p)))
 
 
 def as_json(*cols: str) -> Column:

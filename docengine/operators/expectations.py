@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -298,6 +299,9 @@ def run_checks(spark: SparkSession, tables: Tables, checks: Sequence[Check], run
     does not stop the others: when the fused job fails, checks run one by one.
     """
     started = dt.datetime.now(dt.timezone.utc)
+    repeated = sorted(i for i, n in Counter(c.check_id for c in checks).items() if n > 1)
+    if repeated:
+        raise ValueError(f"check ids are used twice: {', '.join(repeated)}")
     rows, errors = [], {}
     planned = []
     for c in checks:
@@ -323,7 +327,8 @@ def run_checks(spark: SparkSession, tables: Tables, checks: Sequence[Check], run
                           r.row_count_total, text, run_id, finished))
     for c in checks:
         if c.check_id in errors:
-            text = f"check raised exception: {str(errors[c.check_id]).splitlines()[0]}"
+            error = errors[c.check_id]
+            text = f"not evaluated on {c.target_table}: {type(error).__name__} {error}".strip()
             found.append((c.check_id, c.target_table, c.layer, c.severity, 1, 0, text, run_id, finished))
     # One row per check: bounded by the length of the check list.
     violations = spark.createDataFrame(found, TABLES["violations"])
@@ -342,7 +347,7 @@ def gate(violations: DataFrame) -> None:
     """Raise when a check of severity ``error`` failed; warnings pass."""
     failed = sorted({r.check_id for r in violations.filter(F.col("severity") == ERROR).select("check_id").collect()})
     if failed:
-        raise AssertionError(f"{len(failed)} error-severity check(s) failed: {', '.join(failed)}")
+        raise AssertionError(f"stopped by checks of severity {ERROR!r} ({len(failed)}): {', '.join(failed)}")
 
 
 def observe_checks(df: DataFrame, name: str, checks: Sequence[Check]) -> DataFrame:
@@ -373,6 +378,25 @@ def check_schema(df: DataFrame, columns: Sequence[Mapping]) -> list[str]:
     return problems
 
 
+def expect_schema(check_id: str, table: str, columns: Sequence[Mapping], extra: bool = False, **kw) -> Check:
+    """As many violations as declared columns are missing or of another type.
+
+    With ``extra``, columns of the table that are not declared (as those that
+    its folders are named by) count too.
+    """
+
+    def measure(tables: Tables) -> DataFrame:
+        df = tables[table]
+        declared = {c["name"] for c in columns}
+        seen = df if extra else df.select(*[c for c in df.columns if c in declared])
+        problems = len(check_schema(seen, columns))
+        return df.sparkSession.range(1).select(
+            F.lit(problems).cast("bigint").alias("violation_count"),
+            F.lit(len(columns)).cast("bigint").alias("row_count_total"))
+
+    return Check(check_id, table, measure=measure, **kw)
+
+
 def nullability_checks(table: str, columns: Sequence[Mapping], **kw) -> list[Check]:
     """Columns a contract declares as not nullable, as checks on the data.
 

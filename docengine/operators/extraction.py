@@ -88,14 +88,14 @@ LABEL_RULES: dict[str, Rule] = {
     "ndc_codes": Rule("all", r"\b\d{4,5}-\d{3,4}-\d{1,2}\b"),
     "label_version": Rule("first", r"(?im)\bversion\s*:?\s*(\d+)\b", 1),
     "effective_date": Rule("first", r"(?im)(?:effective|revised)[^\n\d]{0,20}(\d{4}-\d{2}-\d{2})", 1),
-    "indication": Rule("section", r"(?i)indications?( and|\b)", max_chars=500),
-    "contraindications": Rule("section", r"(?i)^\W*[\d.]*\s*contraindications?", max_chars=500),
+    "indication": Rule("section", r"(?i)indications?( and|\b)"),
+    "contraindications": Rule("section", r"(?i)^\W*[\d.]*\s*contraindications?"),
     "dosage_forms": Rule("items", r"(?i)dosage forms?"),
-    "dosage_instructions": Rule("section", r"(?i)dosage and administration", max_chars=500),
-    "warnings": Rule("section", r"(?i)warnings?", max_chars=500),
+    "dosage_instructions": Rule("section", r"(?i)dosage and administration"),
+    "warnings": Rule("section", r"(?i)warnings?"),
     "adverse_events": Rule("items", r"(?i)adverse (reactions?|events?)"),
     "drug_interactions": Rule("items", r"(?i)drug interactions?"),
-    "mechanism_of_action": Rule("section", r"(?i)mechanism of action", max_chars=500),
+    "mechanism_of_action": Rule("section", r"(?i)mechanism of action"),
 }
 
 

@@ -76,7 +76,7 @@ def upsert(
     keys: Sequence[str],
     update_cols: Mapping[str, str] | Sequence[str],
     insert_cols: Mapping[str, str] | Sequence[str] | None = None,
-    check_source: bool = False,
+    check_source: bool = True,
 ) -> DataFrame:
     """Target after a merge: matched rows updated, new rows inserted, the rest kept.
 

@@ -99,8 +99,9 @@ def freshness(
     )
 
 
-# Amounts are summed as decimals: exact, and the same in whatever order.
-AMOUNT = "decimal(18,6)"
+# Amounts are summed as decimals: exact, and the same in whatever order.  The
+# product of both keeps all its 20 decimals and has 18 digits before them.
+QUANTITY, PRICE = "decimal(21,8)", "decimal(16,12)"
 
 
 def _total(amount: Column) -> Column:
@@ -108,7 +109,7 @@ def _total(amount: Column) -> Column:
 
 
 def _cost() -> Column:
-    return F.col("usage_quantity") * F.col("list_price").cast(AMOUNT)
+    return F.col("usage_quantity") * F.col("list_price").cast(PRICE)
 
 
 def priced_usage(
@@ -131,7 +132,8 @@ def _job_usage(usage: DataFrame, prefix: str, days: int | None, as_of, tag: str)
     if days is not None:
         rows = rows.filter(since_date("usage_start_time", days, as_of))
     return rows.select(
-        "sku_name", "usage_start_time", F.col("usage_quantity").cast(AMOUNT).alias("usage_quantity"), tag_value("custom_tags", tag).alias("job_name")
+        "sku_name", "usage_start_time", F.col("usage_quantity").cast(QUANTITY).alias("usage_quantity"),
+        tag_value("custom_tags", tag).alias("job_name"),
     )
 
 

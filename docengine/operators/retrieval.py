@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docengine.functions.text import icontains, trim_passage
+from docengine.operators.joins import union_all
 from docengine.operators.similarity import similarity_topk
 
 
@@ -120,6 +121,41 @@ def citations(hits: DataFrame, query_id: str = "query_id", name_col: str = "drug
     )
 
 
+def grams(c: Column | str, size: Column | int = 3) -> Column:
+    """Distinct runs of ``size`` characters of a text, letters in lower case."""
+    text = F.lower(F.col(c) if isinstance(c, str) else c)
+    size = F.lit(size) if isinstance(size, int) else size
+    count = F.length(text) - size + 1
+    return F.when(count > 0, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: text.substr(i, size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def containing(texts: DataFrame, text_col: str, questions: DataFrame, question_id: str, needle: str) -> DataFrame:
+    """(question id, text) of the distinct ``texts`` that contain the needle of a question, ignoring case.
+
+    A text can only contain a needle if it has the needle's grams, so the two
+    meet by equality: a needle under its rarest run of three characters (or
+    all of it, if shorter), a text under its runs of one, two and three that
+    some needle is filed under.  ``contains`` decides.  An empty needle is in
+    every text and is filed under the empty gram; NULL matches nothing.
+    """
+    asked = questions.filter(F.col(needle).isNotNull()).select(question_id, needle).withColumn(
+        "_grams", grams(needle, F.least(F.lit(3), F.length(needle))))
+    asked = asked.withColumn("_grams", F.when(F.length(needle) == 0, F.array(F.lit(""))).otherwise(F.col("_grams")))
+    wanted = asked.select(F.explode("_grams").alias("_gram")).distinct()
+    runs = F.concat(F.array(F.lit("")), *(grams(text_col, n) for n in (1, 2, 3)))
+    filed = texts.filter(F.col(text_col).isNotNull()).select(text_col, F.explode(runs).alias("_gram"))
+    filed = filed.join(wanted, "_gram", "left_semi")
+    often = filed.groupBy("_gram").agg(F.count("*").alias("_often"))
+    # A gram that no text has is the rarest of all: its needle meets nothing.
+    ranked = asked.select(question_id, needle, F.explode("_grams").alias("_gram")).join(often, "_gram", "left")
+    under = ranked.groupBy(question_id, needle).agg(
+        F.min(F.struct(F.coalesce("_often", F.lit(0)), "_gram")).alias("_least")).select(
+        question_id, needle, F.col("_least._gram").alias("_gram"))
+    return filed.join(under, "_gram").filter(icontains(text_col, F.col(needle))).select(question_id, text_col)
+
+
 def answer_names(
     questions: DataFrame,
     dim: DataFrame,
@@ -136,18 +172,25 @@ def answer_names(
 ) -> DataFrame:
     """``entity_summary`` for a table of questions.
 
-    A substring match has no equality to join on; Spark compares inside a
-    broadcast nested loop while the questions are under its size threshold.
-    The k best per question are kept before the shuffle (group limit).
+    Questions meet the distinct names (``containing``), matching names the
+    members by equality.  The k best per question are kept before the shuffle
+    (group limit), and facts are counted for the chosen members only.
     """
     w = Window.partitionBy(question_id).orderBy(F.desc(current_col), F.desc(date_col), F.col(sk_col))
     members = dim.select(*dict.fromkeys([sk_col, current_col, date_col, *names, *cols]))
+    every = union_all([dim.select(F.col(c).alias("_name")) for c in names]).distinct()
+    found = containing(every, "_name", questions, question_id, needle)
+    by_name = [found.join(members.select(sk_col, F.col(c).alias("_name")), "_name").select(question_id, sk_col)
+               for c in names]
     chosen = (
-        members.join(questions.select(question_id, needle), _name_match(names, F.col(needle)))
+        union_all(by_name).distinct().join(members, sk_col)
         .withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
     )
-    counts = fact.groupBy(sk_col).agg(F.count("*").alias("_n"))
+    counts = (
+        fact.select(sk_col).join(chosen.select(sk_col).distinct(), sk_col, "left_semi")
+        .groupBy(sk_col).agg(F.count("*").alias("_n"))
+    )
     return (
         chosen.join(counts, sk_col, "left")
         .withColumn(out, F.coalesce("_n", F.lit(0)))
@@ -168,13 +211,10 @@ def answer_events(
 ) -> DataFrame:
     """``find_by_event`` for a table of questions.
 
-    Questions meet the distinct event texts, not the facts; the matching
-    texts then join the facts by equality.
+    Questions meet the distinct event texts (``containing``), not the facts;
+    the matching texts then join the facts by equality.
     """
-    texts = fact.select(event_col).distinct()
-    matched = texts.join(
-        questions.select(question_id, needle), icontains(event_col, F.col(needle))
-    ).select(question_id, event_col)
+    matched = containing(fact.select(event_col).distinct(), event_col, questions, question_id, needle)
     w = Window.partitionBy(question_id).orderBy(*cols, event_col)
     return (
         fact.select(sk_col, event_col)

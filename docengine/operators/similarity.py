@@ -1,25 +1,33 @@
 """Nearest vectors: exact and approximate top-k for a batch of queries.
 
 The index stays where its files are.  Every task scores its own Arrow batches
-against the queries and hands on at most k rows per query and batch; no
-(vector, query) pair outside those is ever emitted.
+against the queries, keeps the k best rows per query across all of them, and
+hands those on when it ends; no (vector, query) pair outside those is ever
+emitted.  A query set beyond ``MAX_QUERY_BYTES`` is searched slice by slice,
+one pass of the index for each, so that no vector of the index is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docengine.runtime import materialize
+
 # Scores are compared after rounding, so that copies of one vector tie and
 # fall back to the id whatever the order in which a task summed them.
 SCORE_DIGITS = 6
-# Bytes of query vectors that may be sent to every task.
+# Bytes of query vectors that are sent to every task at a time.
 MAX_QUERY_BYTES = 32 << 20
 # Queries scored at a time inside a task, which bounds its score matrix.
 QUERY_SLICE = 256
@@ -53,35 +61,59 @@ def _best(scores: np.ndarray, rank: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((rank[keep], -scores[keep]))][:k]
 
 
-def _score_batch(ids, vectors: np.ndarray, queries: np.ndarray, k: int, unit: bool,
-                 allowed: Callable[[int], np.ndarray | None]):
-    """(query positions, id positions, scores) of one batch."""
-    if unit:
-        vectors = _unit(vectors)
-    rank = _id_rank(ids)
-    hit_q, hit_i, hit_s = [], [], []
-    for lo in range(0, len(queries), QUERY_SLICE):
-        block = np.round(vectors @ queries[lo : lo + QUERY_SLICE].T, SCORE_DIGITS) + 0.0
-        for j in range(block.shape[1]):
-            rows = allowed(lo + j)
-            if rows is None:
-                best = _best(block[:, j], rank, k)
-            elif len(rows):
-                best = rows[_best(block[rows, j], rank[rows], k)]
-            else:
-                continue
-            hit_q.append(np.full(len(best), lo + j))
-            hit_i.append(best)
-            hit_s.append(block[best, j])
-    if not hit_q:
-        return None
-    return np.concatenate(hit_q), np.concatenate(hit_i), np.concatenate(hit_s)
+class _Best:
+    """The k best rows of each query among the batches seen so far."""
+
+    def __init__(self, queries: np.ndarray, k: int, unit: bool) -> None:
+        self.queries, self.k, self.unit = queries, k, unit
+        self.found: list[tuple[np.ndarray, pa.Array] | None] = [None] * len(queries)
+
+    def add(self, ids: pa.Array, vectors: np.ndarray, allowed: Callable[[int], np.ndarray | None]) -> None:
+        if self.unit:
+            vectors = _unit(vectors)
+        rank = _id_rank(ids)
+        for lo in range(0, len(self.queries), QUERY_SLICE):
+            block = np.round(vectors @ self.queries[lo : lo + QUERY_SLICE].T, SCORE_DIGITS) + 0.0
+            for j in range(block.shape[1]):
+                rows = allowed(lo + j)
+                scores = block[:, j] if rows is None else block[rows, j]
+                held = self.found[lo + j]
+                if held is not None and len(held[0]) == self.k and (not len(scores) or scores.max() < held[0][-1]):
+                    continue
+                best = _best(scores, rank if rows is None else rank[rows], self.k)
+                at = best if rows is None else rows[best]
+                if len(at):
+                    self._merge(lo + j, scores[best], ids.take(pa.array(at)))
+
+    def _merge(self, q: int, scores: np.ndarray, ids: pa.Array) -> None:
+        if self.found[q] is not None:
+            scores = np.concatenate([self.found[q][0], scores])
+            ids = pa.concat_arrays([self.found[q][1], ids])
+            best = _best(scores, _id_rank(ids), self.k)
+            scores, ids = scores[best], ids.take(pa.array(best))
+        self.found[q] = scores, ids
+
+    def rows(self, query_ids: pa.Array, names: list[str]) -> Iterator[pa.RecordBatch]:
+        held = [(q, f) for q, f in enumerate(self.found) if f is not None]
+        if held:
+            q = np.repeat([q for q, _ in held], [len(f[0]) for _, f in held])
+            yield pa.RecordBatch.from_arrays(
+                [query_ids.take(pa.array(q)), pa.concat_arrays([f[1] for _, f in held]),
+                 pa.array(np.concatenate([f[0] for _, f in held]))], names=names)
 
 
-def _clean(df: DataFrame, vec_col: str) -> DataFrame:
-    """Vectors that can be scored: present and without NULL elements."""
+def _clean(df: DataFrame, vec_col: str, dim: int | None = None) -> DataFrame:
+    """Vectors that can be scored: present, without NULL elements, and of ``dim`` numbers."""
     v = F.col(vec_col)
-    return df.filter(v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull()))
+    length = F.size(v) > 0 if dim is None else F.size(v) == dim
+    return df.filter(v.isNotNull() & length & ~F.exists(v, lambda x: x.isNull()))
+
+
+def left_out(index: DataFrame, vec_col: str, dim: int) -> DataFrame:
+    """Rows of the index that no search of ``dim`` numbers can score."""
+    kept = F.size(vec_col) == dim
+    sound = F.col(vec_col).isNotNull() & kept & ~F.exists(vec_col, lambda x: x.isNull())
+    return index.filter(~F.coalesce(sound, F.lit(False)))
 
 
 def _top(hits: DataFrame, query_id: str, id_col: str, k: int) -> DataFrame:
@@ -99,10 +131,29 @@ def _hit_schema(index: DataFrame, queries: DataFrame, id_col: str, query_id: str
     )
 
 
-def fits_broadcast(queries: DataFrame, vec_col: str, max_bytes: int = MAX_QUERY_BYTES) -> bool:
-    """Size check before the query vectors are sent to every task."""
-    held = queries.agg(F.sum(F.size(vec_col) * 8)).first()[0] or 0
-    return held <= max_bytes
+@dataclass(frozen=True)
+class QuerySlice:
+    """Queries that are sent to the tasks together: Arrow ids and a float matrix."""
+
+    ids: pa.Array
+    matrix: np.ndarray
+
+
+def query_slices(queries: DataFrame, query_id: str, query_vec: str,
+                 max_bytes: int = MAX_QUERY_BYTES) -> Iterator[QuerySlice]:
+    """The queries in slices of about ``max_bytes``; all have the length of the first ones."""
+    clean = _clean(queries, query_vec).select(query_id, query_vec)
+    shape = clean.agg(F.sum(F.size(query_vec) * 8), F.min(F.size(query_vec)), F.max(F.size(query_vec))).first()
+    if shape[0] is None:
+        return
+    if shape[1] != shape[2]:
+        raise ValueError(f"query vectors of {shape[1]} and of {shape[2]} numbers")
+    count = max(1, -(-shape[0] // max(max_bytes, 1)))
+    part = F.pmod(F.xxhash64(query_id), F.lit(count))
+    for n in range(count):
+        held = (clean if count == 1 else clean.filter(part == n)).toArrow()
+        if held.num_rows:
+            yield QuerySlice(held.column(query_id).combine_chunks(), _matrix(held.column(query_vec)))
 
 
 def similarity_topk(
@@ -121,104 +172,66 @@ def similarity_topk(
     """The k nearest index rows of every query: (query id, id, score, rank, cols).
 
     ``cols`` are fetched from ``display`` (by the same id; the index itself by
-    default) after the search.
-
-    Queries up to ``max_query_bytes`` go to every task; a larger set is joined
-    with the index tile by tile (``_tiled_hits``).  Both ways are exact.
+    default) after the search.  Index rows whose vector has another length
+    than the queries are left out (``left_out`` lists them).
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric {metric!r}")
-    vectors = _clean(index, vec_col).select(id_col, vec_col)
-    # Read by the size check, then once more by the way that was chosen.
-    queries = _clean(queries, query_vec).select(query_id, query_vec).persist()
-    small = fits_broadcast(queries, query_vec, max_query_bytes)
-    find = _broadcast_hits if small else _tiled_hits
-    hits = find(vectors, queries, k, id_col, vec_col, query_id, query_vec, metric == "cosine")
-    if small:
-        queries.unpersist()
-    return with_columns(_top(hits, query_id, id_col, k), index if display is None else display, id_col, cols)
-
-
-def with_columns(hits: DataFrame, index: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
+    schema = _hit_schema(index, queries, id_col, query_id)
+    found = []
+    for part in query_slices(queries, query_id, query_vec, max_query_bytes):
+        vectors = _clean(index, vec_col, part.matrix.shape[1]).select(id_col, vec_col)
+        found.append(_search(vectors, part, k, id_col, vec_col, schema, metric == "cosine"))
+    hits = _top(_all(index, found, schema), query_id, id_col, k)
+    return with_columns(hits, index if display is None else display, id_col, cols)
+
+
+def _all(index: DataFrame, found: list[DataFrame], schema: T.StructType) -> DataFrame:
+    return reduce(DataFrame.union, found) if found else index.sparkSession.createDataFrame([], schema)
+
+
+def with_columns(hits: DataFrame, display: DataFrame, id_col: str, cols: Sequence[str],
+                 max_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
     """Fetch display columns for the few hits instead of carrying them through the scoring.
 
-    A hit without a display row stays, with NULLs.
+    The hits are written once and counted; while their ids are small the
+    display table is scanned with a semi join and stays where it is, and only
+    the rows of hits are joined.  A hit without a display row stays, with
+    NULLs.
     """
+    cols = [c for c in cols if c != id_col]
     if not cols:
         return hits
-    wanted = index.select(id_col, *[c for c in cols if c != id_col])
-    return hits.join(wanted, id_col, "left").select(*hits.columns, *[c for c in cols if c != id_col])
-
+    held = materialize(hits, "hits")
+    ids = held.select(id_col).distinct()
+    if held.count() * 64 <= max_bytes:
+        ids = F.broadcast(ids)
+    wanted = display.select(id_col, *cols).join(ids, id_col, "left_semi")
+    return held.join(wanted, id_col, "left").select(*held.columns, *cols)
 
-def _held_queries(queries: DataFrame, query_id: str, query_vec: str, unit: bool):
-    """Checked-size query set at the driver: Arrow ids and a float matrix."""
-    held = queries.toArrow()
-    matrix = _matrix(held.column(query_vec)) if held.num_rows else np.zeros((0, 1))
-    return held.column(query_id).combine_chunks(), _unit(matrix) if unit else matrix
 
-
-def _broadcast_hits(vectors, queries, k, id_col, vec_col, query_id, query_vec, unit) -> DataFrame:
-    spark = vectors.sparkSession
-    schema = _hit_schema(vectors, queries, id_col, query_id)
-    shared = spark.sparkContext.broadcast(_held_queries(queries, query_id, query_vec, unit))
+def _search(vectors: DataFrame, part: QuerySlice, k: int, id_col: str, vec_col: str, schema: T.StructType,
+            unit: bool, cell_col: str | None = None, cells_of: list[np.ndarray] | None = None) -> DataFrame:
+    names = schema.fieldNames()
+    shared = vectors.sparkSession.sparkContext.broadcast(
+        (part.ids, _unit(part.matrix) if unit else part.matrix, cells_of))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, matrix = shared.value
+        query_ids, matrix, wanted = shared.value
+        best = _Best(matrix, k, unit)
         for batch in batches:
-            if not batch.num_rows or not len(matrix):
+            if not batch.num_rows:
                 continue
-            ids = batch.column(id_col)
-            found = _score_batch(ids, _matrix(batch.column(vec_col)), matrix, k, unit, lambda _: None)
-            q, i, s = found
-            yield pa.RecordBatch.from_arrays(
-                [query_ids.take(pa.array(q)), ids.take(pa.array(i)), pa.array(s)],
-                names=[query_id, id_col, "score"],
-            )
+            allowed = lambda _: None
+            if wanted is not None:
+                cells = batch.column(cell_col).to_numpy(zero_copy_only=False)
+                allowed = lambda j: np.flatnonzero(np.isin(cells, wanted[j]))
+            best.add(batch.column(id_col), _matrix(batch.column(vec_col)), allowed)
+        yield from best.rows(query_ids, names)
 
     return vectors.mapInArrow(search, schema)
 
 
-def _tiled_hits(vectors, queries, k, id_col, vec_col, query_id, query_vec, unit,
-                tile_bytes: int = 64 << 20) -> DataFrame:
-    """Exact top-k for query sets of any size.
-
-    Both sides are hashed by id into tiles of about ``tile_bytes``; every pair
-    of an index tile and a query tile meets in one task, which again emits k
-    rows per query only.  Ids are unique, so tiles have equal size.
-    """
-    schema = _hit_schema(vectors, queries, id_col, query_id)
-
-    def tiles(df: DataFrame, vec: str) -> int:
-        held = df.agg(F.sum(F.size(vec) * 8)).first()[0] or 0
-        return max(1, -(-held // tile_bytes))
-
-    n_v, n_q = tiles(vectors, vec_col), tiles(queries, query_vec)
-
-    def tile(df: DataFrame, key: str, mine: str, n_mine: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(mine, F.pmod(F.xxhash64(key), F.lit(n_mine))).withColumn(
-            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint")))
-        )
-
-    v = tile(vectors, id_col, "_v", n_v, "_q", n_q).groupBy("_v", "_q")
-    q = tile(queries, query_id, "_q", n_q, "_v", n_v).groupBy("_v", "_q")
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        none = pa.Table.from_pylist([], schema=pa.schema(
-            [(query_id, right.schema.field(query_id).type), (id_col, left.schema.field(id_col).type),
-             ("score", pa.float64())]))
-        if not left.num_rows or not right.num_rows:
-            return none
-        matrix = _matrix(right.column(query_vec))
-        ids, query_ids = left.column(id_col).combine_chunks(), right.column(query_id).combine_chunks()
-        found = _score_batch(ids, _matrix(left.column(vec_col)), _unit(matrix) if unit else matrix,
-                             k, unit, lambda _: None)
-        qi, i, s = found
-        return pa.table({query_id: query_ids.take(pa.array(qi)), id_col: ids.take(pa.array(i)),
-                         "score": pa.array(s)})
-
-    return v.cogroup(q).applyInArrow(search, schema)
-
-
 # --- approximate search ---------------------------------------------------
 
 
@@ -268,46 +281,22 @@ def similarity_approx(
     only the probed cells are read.  A query whose cells hold fewer than k
     rows widens its radius until they do, so no query comes back short.  Cells
     only select rows inside the scoring tasks: nothing is grouped by cell, so
-    a cell holding a third of the index costs no more than its share.  A query
-    set too large to send out is searched exactly instead.
+    a cell holding a third of the index costs no more than its share.  Query
+    sets of any size are searched in the same way, slice by slice.
     """
-    vectors = _clean(index, vec_col)
-    queries = _clean(queries, query_vec).select(query_id, query_vec).persist()
-    if not fits_broadcast(queries, query_vec, max_query_bytes):
-        return similarity_topk(index, queries, k, id_col, vec_col, query_id, query_vec, cols,
-                               max_query_bytes=max_query_bytes)
-    spark = index.sparkSession
+    if not 0 < len(planes) < 31:
+        raise ValueError("between 1 and 30 planes")
+    schema = _hit_schema(index, queries, id_col, query_id)
     # At most 2 ** len(planes) counts.
     held = {r[cell_col]: r["count"] for r in index.groupBy(cell_col).count().collect()}
-    query_ids, matrix = _held_queries(queries, query_id, query_vec, unit=False)
-    queries.unpersist()
-    own = cell_numbers(matrix, planes) if len(query_ids) else np.zeros(0, np.int64)
-    probes = _probe_masks(own, held, len(planes), radius, k)
-    asked = sorted({int(c) for mask in probes for c in mask})
-    shared = spark.sparkContext.broadcast((query_ids, _unit(matrix), [np.array(sorted(p)) for p in probes]))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, unit_queries, cells_of = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column(id_col)
-            cells = batch.column(cell_col).to_numpy(zero_copy_only=False)
-            found = _score_batch(
-                ids, _matrix(batch.column(vec_col)), unit_queries, k, True,
-                lambda j: np.flatnonzero(np.isin(cells, cells_of[j])),
-            )
-            if found is None:
-                continue
-            q, i, s = found
-            yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(q)), ids.take(pa.array(i)), pa.array(s)],
-                names=[query_id, id_col, "score"],
-            )
-
-    probed = vectors.filter(F.col(cell_col).isin(asked)).select(id_col, vec_col, cell_col)
-    hits = probed.mapInArrow(search, _hit_schema(index, queries, id_col, query_id))
-    return with_columns(_top(hits, query_id, id_col, k), index, id_col, cols)
+    found = []
+    for part in query_slices(queries, query_id, query_vec, max_query_bytes):
+        probes = _probe_masks(cell_numbers(part.matrix, planes), held, len(planes), radius, k)
+        asked = sorted({int(c) for mask in probes for c in mask})
+        probed = _clean(index, vec_col, part.matrix.shape[1]).filter(F.col(cell_col).isin(asked))
+        found.append(_search(probed.select(id_col, vec_col, cell_col), part, k, id_col, vec_col, schema, True,
+                             cell_col, [np.array(sorted(p)) for p in probes]))
+    return with_columns(_top(_all(index, found, schema), query_id, id_col, k), index, id_col, cols)
 
 
 def _probe_masks(own: np.ndarray, held: dict[int, int], bits: int, radius: int, k: int) -> list[set[int]]:
@@ -333,12 +322,6 @@ def recall(approx: DataFrame, exact: DataFrame, query_id: str, id_col: str) -> D
 
 
 def centroids(df: DataFrame, group: Sequence[str], vec_col: str, out: str = "query_vec") -> DataFrame:
-    """Mean vector per group: averaged per position, put together again in order."""
-    per_pos = (
-        df.select(*group, F.posexplode(vec_col).alias("_pos", "_x"))
-        .groupBy(*group, "_pos")
-        .agg(F.avg(F.col("_x").cast("double")).alias("_x"))
-    )
-    # One entry per vector position and group.
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_x")))
-    return per_pos.groupBy(*group).agg(F.transform(ordered, lambda p: p["_x"]).alias(out))
+    """Mean vector per group: one aggregate over whole vectors, combined before the shuffle."""
+    mean = Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>")))
+    return df.groupBy(*group).agg(vector_to_array(mean).alias(out))

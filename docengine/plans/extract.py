@@ -28,7 +28,7 @@ class ExtractConfig:
     prompt_version: str = "v1"
     file_type: str = "xml"
     kind: str = "xml"
-    limit: int | None = 50
+    limit: int | None = None
     min_chars: int = 200
     min_confidence: float = 0.6
     retry_quarantined: bool = False

@@ -44,7 +44,8 @@ def chunks(extracted: DataFrame, max_chars: int = 2000, overlap: int = 200, min_
            as_of: Column | None = None, versioned: bool = True) -> DataFrame:
     """Chunks of the best row per version; ``versioned=False`` numbers ids as ``<id>_<n>``."""
     as_of = F.current_timestamp() if as_of is None else as_of
-    rows = best_row(extracted.filter(F.length("full_text") > min_chars), KEYS, best_first())
+    # The best row first, as in the dimension: a short one has no chunks, and no other row steps in for it.
+    rows = best_row(extracted, KEYS, best_first()).filter(F.length("full_text") > min_chars)
     keep = ("set_id", "drug_name", "generic_name", "manufacturer", "label_version")
     return chunk(
         rows, "set_id", "full_text", keep, "label_version" if versioned else None,

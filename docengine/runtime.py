@@ -81,7 +81,7 @@ def ship(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's checkpoint folder.
 
-    Only a local session without one (as in tests) gets a folder of its own.
+    A session without one uses a folder under its warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -89,9 +89,8 @@ def work_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="docengine-")
+    # The warehouse is shared too, wherever tables can be saved at all.
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -122,20 +121,6 @@ def materialized(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
         delete_path(df.sparkSession, path)
 
 
-def spread(df: DataFrame, split_bytes: int = 1 << 20, core_bytes: int = 64 << 20) -> DataFrame:
-    """Give a small input as many partitions as there are cores.
-
-    A file with one row group is one task however many cores wait for it.
-    Only inputs under ``core_bytes`` per core are moved, by hash of the first
-    column; larger ones have splits enough and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    held = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if held >= cores * core_bytes:
-        return df
-    return df.repartition(max(1, min(cores, held // split_bytes)), df.columns[0])
-
-
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) pair for any store Spark can reach."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -59,6 +59,8 @@ def _compile(contract: Contract, spec: dict[str, Any]) -> list[ex.Check]:
         "max_fanout": lambda: ex.expect_max_fanout(check_id, table, spec["column"], int(spec["max"]), **kw),
         "exactly_one": lambda: ex.expect_exactly_one(
             check_id, table, spec["column"], spec["flag"], spec["date"], **kw),
+        "no_overlap": lambda: ex.expect_no_overlap(
+            check_id, table, _columns(spec), spec["start"], spec["end"], **kw),
         "coverage": lambda: ex.expect_coverage(check_id, table, spec["child"], spec["column"], **kw),
     }
     if kind not in build:

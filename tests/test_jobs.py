@@ -219,6 +219,25 @@ def test_index_follows_a_stream_of_changes(spark, tmp_path):
         current_index(spark, str(tmp_path / "nothing"))
 
 
+def test_index_log_keeps_deletes_and_order(spark, tmp_path):
+    schema = "chunk_id STRING, chunk_text STRING, n INT, op STRING"
+    path = str(tmp_path / "index")
+
+    def encode(rows):  # as a text encoder does: rows without text have no vector
+        return rows.filter("chunk_text IS NOT NULL").withColumn("embedding", F.array(F.length("chunk_text").cast("double")))
+
+    def change(batch, *data):
+        write_changes(spark.createDataFrame(list(data), schema), encode, path, batch, order="n", cols=["chunk_text"], op_col="op")
+        return rows(current_index(spark, path).select("chunk_id", "chunk_text"))
+
+    assert change(0, ("a", "new", 10, "update"), ("b", "bb", 3, "insert")) == [("a", "new"), ("b", "bb")]
+    assert change(1, ("b", None, 6, "delete"), ("a", "late", 5, "update")) == [("a", "new")]
+    assert compact(spark, path) == 1
+    assert change(2, ("b", "later but older", 4, "update"), ("a", "older", 9, "update")) == [("a", "new")]
+    assert compact(spark, path, forget_before=100) == 2
+    assert change(3, ("b", "back", 7, "insert")) == [("a", "new"), ("b", "back")]
+
+
 def test_injected_extractor_may_be_an_arrow_function(spark):
     @F.pandas_udf("string")
     def answer(text):

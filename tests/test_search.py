@@ -46,7 +46,7 @@ def hits(df):
     return {(r.query_id, r.chunk_id, r.score) for r in df.collect()}
 
 
-@pytest.mark.parametrize("limit", [sim.MAX_QUERY_BYTES, 0])
+@pytest.mark.parametrize("limit", [sim.MAX_QUERY_BYTES, 100])
 @pytest.mark.parametrize("metric", ["cosine", "dot"])
 def test_exact_search_is_brute_force(spark, data, limit, metric):
     index, queries = frames(spark, data)
@@ -58,14 +58,50 @@ def test_exact_search_is_brute_force(spark, data, limit, metric):
         assert first == ["c000"] + [f"d{i:03d}" for i in range(9)]
 
 
-def test_tiles_smaller_than_the_tables(spark, data):
+def test_query_sets_larger_than_a_slice(spark, data):
     index, queries = frames(spark, data)
-    got = sim._top(
-        sim._tiled_hits(index, queries, 4, "chunk_id", "embedding", "query_id", "query_vec", True, tile_bytes=400),
-        "query_id", "chunk_id", 4)
+    assert len(list(sim.query_slices(queries, "query_id", "query_vec", 130))) > 1
+    got = sim.similarity_topk(index, queries, 4, "chunk_id", "embedding", max_query_bytes=130)
     assert hits(got) == brute(*data, 4)
 
 
+def test_task_of_small_batches_emits_k_rows_per_query(spark, data):
+    index, queries = frames(spark, data)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        part = next(sim.query_slices(queries, "query_id", "query_vec"))
+        schema = sim._hit_schema(index, queries, "chunk_id", "query_id")
+        found = sim._search(index.coalesce(1), part, 5, "chunk_id", "embedding", schema, True)
+        assert found.count() == 5 * len(data[1])
+        assert hits(sim._top(found, "query_id", "chunk_id", 5)) == brute(*data, 5)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_vectors_of_other_lengths_are_left_out(spark):
+    rows_ = [("a", [1.0, 0.0]), ("b", [1.0, 0.0, 5.0]), ("c", [0.0, 1.0]), ("d", [3.0])]
+    index = spark.createDataFrame(rows_, "chunk_id STRING, embedding ARRAY<FLOAT>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id INT, query_vec ARRAY<FLOAT>")
+    got = sim.similarity_topk(index, queries, 5, "chunk_id", "embedding")
+    assert hits(got) == {(1, "a", 1.0), (1, "c", 0.0)}
+    assert {r.chunk_id for r in sim.left_out(index, "embedding", 2).collect()} == {"b", "d"}
+    mixed = queries.union(spark.createDataFrame([(2, [1.0])], queries.schema))
+    with pytest.raises(ValueError, match="numbers"):
+        sim.similarity_topk(index, mixed, 5, "chunk_id", "embedding")
+
+
+def test_display_rows_are_not_shuffled(spark, data):
+    index, queries = frames(spark, data)
+    display = index.select("chunk_id", F.lit("text").alias("chunk_text"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = sim.similarity_topk(index, queries, 3, "chunk_id", "embedding", cols=["chunk_text"], display=display)
+        assert "BroadcastHashJoin LeftSemi" in plan_of(got) or "LeftSemi, BuildRight" in plan_of(got)
+        assert {r.chunk_text for r in got.collect()} == {"text"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_unusable_vectors_are_left_out(spark):
     index = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None), ("c", [1.0, None])], "chunk_id STRING, embedding ARRAY<FLOAT>")
     queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id INT, query_vec ARRAY<FLOAT>")
@@ -88,7 +124,8 @@ def test_approximate_search(spark, data):
     # Scores of the hits are exact.
     every = {(q, i): s for q, i, s in brute(*data, len(data[0]))}
     assert all(every[(q, i)] == s for q, i, s in hits(near))
-    assert hits(sim.similarity_approx(celled, queries, 10, planes, "chunk_id", "embedding", max_query_bytes=0)) == hits(exact)
+    # The size of the query set changes nothing.
+    assert hits(sim.similarity_approx(celled, queries, 10, planes, "chunk_id", "embedding", max_query_bytes=1)) == hits(near)
 
 
 def test_short_cells_are_widened(spark):
@@ -141,6 +178,26 @@ def test_look_ups(spark, star):
     assert rows(events) == [(1, "Alpha", "Severe rash", 1), (1, "Gamma", "RASH", 2)]
 
 
+def test_many_questions_meet_by_equality(spark, star):
+    dim, fact = star
+    asked = spark.createDataFrame(
+        [(1, "ALPHA"), (2, "a"), (3, ""), (4, None), (5, "00%"), (6, "zz"), (7, "mm")], "question_id INT, question STRING")
+    names = ["drug_name", "generic_name"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = retrieval.answer_names(asked, dim, fact, names, ["drug_name"])
+        events = retrieval.answer_events(asked, dim, fact, ["drug_name"])
+        for df in (got, events):
+            assert "CartesianProduct" not in plan_of(df) and "NestedLoop" not in plan_of(df)
+        found = {}
+        for r in got.collect():
+            found.setdefault(r.question_id, set()).add(r.drug_name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    every = {"Alpha", "Beta 100%", "Gamma"}
+    assert found == {1: {"Alpha"}, 2: every, 3: every, 5: {"Beta 100%"}, 7: {"Gamma"}}
+
+
 def test_passages_and_citations(spark):
     index = spark.createDataFrame(
         [("c1", "s1", "Alpha", "Doses", "x" * 1300, [1.0, 0.0]), ("c2", "s2", "Beta", "Risks", "y", [0.0, 1.0]),
