@@ -63,18 +63,17 @@ def fn_dates(spark, d):
 
 
 @query("""
-    SELECT doc_id, try_cast(CASE WHEN regexp_matches(substr(text, 1, 10), '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')
-               THEN substr(text, 1, 10) END AS DATE) AS written,
+    SELECT doc_id, try_cast(nullif(regexp_extract(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}'), '') AS DATE) AS written,
            CAST(len(string_split(text, ' ')) AS INTEGER) AS n_words, string_split(text, ' ')[-1] AS last_word,
-           array_to_string(list_transform(string_split(text, ' ')[1:3], lambda w: lower(w)), '|') AS first_words
+           md5(array_to_string(list_transform(string_split(text, ' '), lambda w: lower(w)), '|')) AS lower_words
     FROM documents
 """)
 def fn_arrays(spark, d):
     words = F.split("text", " ")
     return table(spark, d, "documents").select(
-        "doc_id", dates.parse_date(F.substring("text", 1, 10)).alias("written"),
+        "doc_id", dates.parse_date(F.regexp_extract("text", "[0-9]{4}-[0-9]{2}-[0-9]{2}", 0)).alias("written"),
         F.size(words).alias("n_words"), F.element_at(words, -1).alias("last_word"),
-        F.array_join(F.transform(F.slice(words, 1, 3), lambda w: F.lower(w)), "|").alias("first_words"),
+        F.md5(F.array_join(F.transform(words, lambda w: F.lower(w)), "|")).alias("lower_words"),
     )
 
 
@@ -95,3 +94,20 @@ def fn_conditions(spark, d):
         F.coalesce("quality", F.lit(-1)).alias("filled"), F.nullif("lang", F.lit("en")).alias("other_lang"),
         (F.col("n_chars") / 7.0).cast("int").alias("sevenths"),
     )
+
+
+@query("""
+    SELECT p_partkey, try_cast(strftime(DATE '2001-01-29' + p_size, '%Y-%m-%d') AS DATE) AS stated,
+           try_cast(CASE WHEN p_size % 2 = 0 THEN strftime(DATE '2001-01-29' + p_size, '%Y-%m-%d')
+                    ELSE '2001-02-' || lpad(CAST(p_size AS VARCHAR), 2, '0') END AS DATE) AS written
+    FROM part
+""")
+def written_dates(spark, d):
+    """Dates inside a text; every other part's may not exist."""
+    day = F.date_format(F.date_add(F.lit("2001-01-29").cast("date"), F.col("p_size")), "yyyy-MM-dd")
+    odd = F.concat(F.lit("2001-02-"), F.lpad(F.col("p_size").cast("string"), 2, "0"))
+    texts = table(spark, d, "part").select(
+        "p_partkey", day.alias("day"),
+        F.concat(F.col("p_name"), F.lit(" of "), F.when(F.col("p_size") % 2 == 0, day).otherwise(odd), F.lit(".")).alias("text"))
+    found = F.regexp_extract("text", r" of ([0-9]{4}-[0-9]{2}-[0-9]{2})\.$", 1)
+    return texts.select("p_partkey", dates.parse_date("day").alias("stated"), dates.parse_date(found).alias("written"))

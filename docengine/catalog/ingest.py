@@ -178,7 +178,8 @@ def appended_view(spark, d):
     """Documents appended in two batches to a partitioned table, read through a view."""
     docs = table(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")
     path = scratch_path(spark, "appended")
-    append_table(docs.filter("lang = 'en'"), path, partition_by=["lang"])
-    append_table(docs.filter("lang <> 'en'"), path, partition_by=["lang"])
+    english = F.col("lang").eqNullSafe("en")
+    append_table(docs.filter(english), path, partition_by=["lang"])
+    append_table(docs.filter(~english), path, partition_by=["lang"])
     view = as_view(read_table(spark, path), "appended_documents")
     return view.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))

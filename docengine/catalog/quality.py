@@ -16,6 +16,7 @@ from docengine.operators import monitoring as mon
 from docengine.operators.joins import no_overlap_violations
 from docengine.operators.model import current_flag
 from docengine.plans.trust import declared_checks
+from docengine.runtime import scratch_path
 from docengine.sources.contracts import Contract, load_contract
 
 RESULT = ["check_id", "target_table", "severity", "violation_count", "row_count_total"]
@@ -444,3 +445,31 @@ def contract_schema(spark, d):
     tables = {"documents": table(spark, d, "documents")}
     return ex.check_results(tables, declared_checks(contract, tables)).select(
         "check_id", "violation_count", "row_count_total")
+
+
+@query("""
+    WITH found AS (
+        SELECT 'lines__quantity' AS check_id, count(*) FILTER (l_quantity IS NULL OR l_quantity <= 0) AS bad, count(*) AS n
+        FROM lineitem
+        UNION ALL SELECT 'lines__discount', count(*) FILTER (l_discount < 0 OR l_discount > 0.05), count(*) FROM lineitem
+        UNION ALL SELECT 'lines__broken', 1, 0 FROM (SELECT count(*) FROM lineitem)
+    )
+    SELECT check_id, CAST(bad AS BIGINT) AS violation_count, CAST(n AS BIGINT) AS row_count_total,
+           CAST(3 AS INTEGER) AS checks, CAST((SELECT count(*) FROM found WHERE bad > 0) AS INTEGER) AS failed
+    FROM found WHERE bad > 0
+""")
+def run_log(spark, d):
+    """Checks through the runner and its logs, one of which cannot be evaluated."""
+    checks = [
+        ex.expect_positive("lines__quantity", "lineitem", "l_quantity"),
+        ex.expect_between("lines__discount", "lineitem", "l_discount", 0.0, 0.05),
+        ex.expect_sql("lines__broken", "lineitem", "no_such_column > 0"),
+    ]
+    out = scratch_path(spark, "run-log")
+    violations, run = ex.run_checks(spark, {"lineitem": table(spark, d, "lineitem")}, checks, "r1")
+    ex.log_results(violations, run, f"{out}/violations", f"{out}/runs")
+    runs = spark.read.parquet(f"{out}/runs")
+    counts = [F.col(c) for c in runs.columns]
+    logged = runs.select("run_id", counts[1].cast("int").alias("checks"), counts[3].cast("int").alias("failed"))
+    return spark.read.parquet(f"{out}/violations").join(logged, "run_id").select(
+        "check_id", "violation_count", "row_count_total", "checks", "failed")

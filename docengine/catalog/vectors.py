@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docengine.catalog import query
 from docengine.catalog.common import table
 from docengine.catalog.documents import document_chunks
-from docengine.catalog.model import YEARLY, _yearly
+from docengine.catalog.model import UNTIL, _until
 from docengine.operators import embedding, retrieval
 from docengine.operators import similarity as sim
 from docengine.runtime import materialize, scratch_path
@@ -205,11 +205,11 @@ def _encode(rows):
 
 @query(f"""
     SELECT chunk_id, chunk_text, best AS first, CAST(length(chunk_text) AS DOUBLE) AS second
-    FROM ({YEARLY.format(1998)})
+    FROM ({UNTIL.format(9999)})
 """)
 def index_sync(spark, d):
-    """The index of one year brought to the next by its changes."""
-    old, new = _yearly(spark, d, 1997), _yearly(spark, d, 1998)
+    """The index as it stood before the last year, brought to all orders by its changes."""
+    old, new = _until(spark, d, 1997), _until(spark, d, 9999)
     index = embedding.build_index(old, _encode, cols=["chunk_text"])
     synced = embedding.sync_index(index, old, new, _encode, cols=["chunk_text"])
     return synced.select(
