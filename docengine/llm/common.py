@@ -87,6 +87,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def ascending(x: np.ndarray) -> np.ndarray:
+    """Distinct values in ascending order, by a plain sort."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, batch, prepare, release, shards, sorted_ranges, text_column, texts
+from docengine.llm.common import Scratch, ascending, batch, prepare, release, shards, sorted_ranges, text_column, texts
 
 LENGTH = 50
 PERIOD = 31
@@ -133,24 +133,26 @@ class Block:
         # Rows that share an id are one document: a string of one is not earlier in another.
         ids = [-(1 << 63) if i is None else i for i in doc_ids]
         rank = np.concatenate([[0], np.cumsum(np.diff(np.array(ids, np.int64)) != 0)]) if ids else np.zeros(0, np.int64)
-        self.doc = np.repeat(rank, self.lengths)
-        self.left = np.repeat(self.ends, self.lengths) - np.arange(len(self.text))  # bytes up to the document's end
+        self.rank = rank
+        # Bytes up to the document's end.
+        self.left = np.repeat(self.ends.astype(np.int32), self.lengths) - np.arange(len(self.text), dtype=np.int32)
 
     def sampled(self) -> np.ndarray:
-        at = np.arange(len(self.text))
-        return np.flatnonzero(np.isin(at % PERIOD, COVER) & (self.left >= SAMPLED))
+        at = (np.arange(0, len(self.text), PERIOD)[:, None] + np.array(COVER)).ravel()
+        at = at[at < len(self.text)]
+        return at[self.left[at] >= SAMPLED]
 
     def sample_names(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Sampled positions and their names, cut to 32 bits and those of the range."""
         at = self.sampled()
         return at, names(self.text, SAMPLED)[at] >> np.uint64(32 - bits)
 
-    def candidates(self, repeated: np.ndarray, bits: int) -> np.ndarray:
+    def candidates(self, answers: list | None, bits: int) -> np.ndarray:
         """Marks of the positions whose strings have a sampled string that repeats."""
         at, own = self.sample_names(bits)
-        _, back = np.unique(own, return_inverse=True)
+        distinct, back = np.unique(own, return_inverse=True)
         again = np.zeros(len(self.text) + PERIOD + 1, np.int32)
-        again[at[repeated[back]] + 1] = 1
+        again[at[_unpacked(distinct, 32, answers)[back]] + 1] = 1
         again = np.cumsum(again)
         return (self.left >= LENGTH) & (again[PERIOD:PERIOD + len(self.text)] > again[:len(self.text)])
 
@@ -166,7 +168,7 @@ class Block:
         first document stays, of positions that an earlier one has too.
         """
         distinct, back = np.unique(own, return_inverse=True)
-        doc = self.doc[at]
+        doc = self.rank[np.searchsorted(self.ends, at, side="right")]
         least = np.full(len(distinct), np.iinfo(np.int64).max)
         np.minimum.at(least, back, doc)
         if first_stays:
@@ -251,7 +253,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     release(spark)
     total = blocks.agg(F.sum(F.octet_length("body")).alias("n")).first()["n"] or 0
     bits = max(0, (total * len(COVER) // PERIOD // KEYS).bit_length())      # ranges of sampled names: 2 ** bits
-    wide = max(0, (total // KEYS).bit_length())                             # ranges of whole names
+    wide = max(0, (total // (2 * PARTS * KEYS)).bit_length())               # ranges of a part of the whole names
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, block in _blocks(batches):
@@ -266,8 +268,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, block in _blocks(batches):
-            found = _unpacked(np.unique(block.sample_names(bits)[1]), 32, r["bits"])
-            yield batch({"block": [r["block"]], "mask": [np.packbits(block.candidates(found, bits)).tobytes()]}, _MASK)
+            yield batch({"block": [r["block"]], "mask": [np.packbits(block.candidates(r["bits"], bits)).tobytes()]}, _MASK)
 
     beside = blocks.join(several.hint("shuffle_hash"), "block", "left")
     masks = scratch.write(beside.mapInArrow(masked, "block long, mask binary"), "masks")
@@ -277,7 +278,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r, block in _blocks(batches):
                 own = block.whole_names(r["mask"])[1]
-                distinct = np.unique(own[own % np.uint64(PARTS) == part])
+                distinct = ascending(own[own % np.uint64(PARTS) == part])
                 cut = list(sorted_ranges(distinct, 64 - wide))
                 yield batch({"bucket": [k for k, _, _ in cut], "block": [r["block"]] * len(cut),
                              "names": [distinct[a:z].astype("<u8").tobytes() for _, a, z in cut],
