@@ -4,45 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docengine.runtime import materialize
 
-# Rows of a period list that may be sent to every task.
-BROADCAST_ROWS = 200_000
+# Bytes of a period list that may be sent to every task.
+BROADCAST_BYTES = 32 << 20
 
 
 def _on(keys: Sequence[str], prefix: str) -> Column:
     return reduce(and_, [F.col(k) == F.col(f"{prefix}{k}") for k in keys])
 
 
+# Bytes of keys that may be sent to every task, and what a key is taken for.
+BROADCAST_KEY_BYTES, KEY_BYTES = 32 << 20, 256
+
+
 def pending(src: DataFrame, *done: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``src`` whose key is in none of the ``done`` tables.
 
-    The done keys are made distinct first, so a key that was processed many
-    times crosses the network once per map task.
+    The done keys of all tables are made distinct together, so there is one
+    join, and a key that was processed many times crosses the network once
+    per map task.
     """
-    for table in done:
-        keys = table.select(*[F.col(k).alias(f"d_{k}") for k in on]).distinct()
-        src = src.join(keys, _on(on, "d_"), "left_anti")
-    return src
+    if not done:
+        return src
+    keys = union_all([table.select(*[F.col(k).alias(f"d_{k}") for k in on]) for table in done]).distinct()
+    return src.join(keys, _on(on, "d_"), "left_anti")
 
 
 def pending_capped(src: DataFrame, *done: DataFrame, on: Sequence[str], order: Sequence[str],
                    limit: int | None) -> DataFrame:
-    """Pending rows, at most ``limit`` of them in a fixed order.
+    """Pending rows; with a ``limit`` at most so many, in a fixed order.
 
-    The anti join and the cap see only the key columns; the wide row is
-    fetched afterwards for the chosen keys.
+    The anti join and the cap see only the key columns.  The chosen keys are
+    written and counted; while they are small, the wide rows are found by a
+    scan and not shuffled.
     """
-    narrow = pending(src.select(*dict.fromkeys([*on, *order])), *done, on=on)
-    if limit is None:
-        return pending(src, *done, on=on)
-    chosen = narrow.orderBy(*order).limit(limit)
     cols = list(dict.fromkeys([*on, *order]))
-    picked = chosen.select(*[F.col(c).alias(f"p_{c}") for c in cols]).distinct()
+    chosen = pending(src.select(*cols), *done, on=on)
+    if limit is not None:
+        chosen = chosen.orderBy(*order).limit(limit)
+    picked = materialize(chosen.select(*[F.col(c).alias(f"p_{c}") for c in cols]).distinct(), "pending")
+    if picked.count() * KEY_BYTES <= BROADCAST_KEY_BYTES:
+        picked = F.broadcast(picked)
     match = reduce(and_, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in cols])
     return src.join(picked, match, "left_semi")
 
@@ -86,6 +94,12 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def held_bytes(df: DataFrame) -> int:
+    """Size of the rows as text, a few bytes per field added; one aggregate."""
+    width = reduce(add, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns])
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def interval_join(
     facts: DataFrame,
     periods: DataFrame,
@@ -94,12 +108,12 @@ def interval_join(
     start: str,
     end: str,
     bucket_seconds: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows joined with the periods in force at ``ts``: ``start <= ts < end``.
 
     A NULL ``end`` is open.  Keys are often few and hot, so the facts should
-    not be shuffled by key: up to ``broadcast_rows`` periods, counted first,
+    not be shuffled by key: periods of up to ``broadcast_bytes``, measured first,
     are sent out; more are joined by sort-merge, where the adaptive skew
     handling splits the facts of a hot key.
 
@@ -121,7 +135,8 @@ def interval_join(
         p = p.withColumn("_bucket", F.explode(touched))
         facts = facts.withColumn("_b", bucket(at))
         match = match & (F.col("_b") == F.col("_bucket"))
-    if p.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    p = materialize(p, "periods")
+    if held_bytes(p) <= broadcast_bytes:
         p = F.broadcast(p)
     return facts.join(p, match).drop("_b", "_bucket", *[f"p_{k}" for k in on])
 

@@ -114,7 +114,9 @@ def upsert(
 
 
 def key_bucket(keys: Sequence[str], digits: int = 3) -> Column:
-    """Hash bucket of a business key: ``16 ** digits`` buckets of equal size."""
+    """Hash bucket of a business key: ``16 ** digits`` buckets of equal size, 65,536 at most."""
+    if not 1 <= digits <= 4:
+        raise ValueError("between 1 and 4 digits")
     parts = [F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in keys]
     return F.substring(F.md5(F.concat_ws("\x1f", *parts)), 1, digits)
 

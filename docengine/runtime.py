@@ -96,7 +96,12 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new place in the shared folder; what is written there goes when the driver's JVM ends."""
+    folder = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    fs, path = hadoop_path(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{folder}/data"
 
 
 def materialize(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -140,14 +140,15 @@ def test_gold_job_and_contracts(spark, lake, tmp_path):
         run_contracts(spark, broken, "r2", *logs)
 
 
-def test_raw_bytes_stay_out_of_the_joins(spark, lake):
+@pytest.mark.parametrize("limit", [2, None])
+def test_raw_bytes_stay_out_of_the_joins(spark, lake, limit):
     from docengine.operators.joins import pending_capped
     from conftest import plan_of
 
     src, paths = lake
     raw = ingest(spark, src, paths, "b1")
     done = read_or_empty(spark, paths["extracted"], TABLES["extracted"])
-    plan = plan_of(pending_capped(raw, done, on=["set_id", "content_hash"], order=["set_id"], limit=2))
+    plan = plan_of(pending_capped(raw, done, on=["set_id", "content_hash"], order=["set_id"], limit=limit))
     wide = [line for line in plan.splitlines() if line.startswith("Arguments: hashpartitioning")]
     assert plan.count("raw_bytes") > 0 and not any("raw_bytes" in line for line in wide)
 

@@ -179,7 +179,7 @@ USES = [("s", "2024-01-01"), ("s", "2024-01-04"), ("s", "2024-01-05"), ("s", "20
         ("t", "2024-01-03"), ("t", "2024-01-02"), ("u", "2024-01-02"), ("s", "2023-12-31")]
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 @pytest.mark.parametrize("bucket", [None, 86400, 7 * 86400, 3600 * 24 * 400])
 def test_effective_dates(spark, bucket, limit):
     prices = spark.createDataFrame(PRICES, "k STRING, p DOUBLE, a STRING, b STRING").select(
