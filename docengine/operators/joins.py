@@ -40,16 +40,18 @@ def pending_capped(src: DataFrame, *done: DataFrame, on: Sequence[str], order: S
                    limit: int | None) -> DataFrame:
     """Pending rows; with a ``limit`` at most so many, in a fixed order.
 
-    The anti join and the cap see only the key columns.  The chosen keys are
-    written and counted; while they are small, the wide rows are found by a
-    scan and not shuffled.
+    The anti join and the cap see only the key columns.  Without a cap the
+    chosen keys are written and counted.  While they are small, the wide rows
+    are found by a scan and not shuffled.
     """
     cols = list(dict.fromkeys([*on, *order]))
     chosen = pending(src.select(*cols), *done, on=on)
     if limit is not None:
         chosen = chosen.orderBy(*order).limit(limit)
-    picked = materialize(chosen.select(*[F.col(c).alias(f"p_{c}") for c in cols]).distinct(), "pending")
-    if picked.count() * KEY_BYTES <= BROADCAST_KEY_BYTES:
+    picked = chosen.select(*[F.col(c).alias(f"p_{c}") for c in cols]).distinct()
+    if limit is None:
+        picked = materialize(picked, "pending")
+    if (picked.count() if limit is None else limit) * KEY_BYTES <= BROADCAST_KEY_BYTES:
         picked = F.broadcast(picked)
     match = reduce(and_, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in cols])
     return src.join(picked, match, "left_semi")
