@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from compare import TABLES, df_rows, rows_of  # noqa: E402
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The optional training-data queries have tests of their own.
+QUERIES, ORACLES = entry.catalog.QUERIES, entry.catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -36,5 +37,9 @@ def test_entry(spark, small):
     assert entry.entry(spark).count() > 0
 
 
+def test_entry_offers_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_only_the_text_search_has_no_sql():
     assert set(QUERIES) - set(ORACLES) == {"text_search"}
