@@ -66,3 +66,13 @@ def test_line_templates_stage_is_native():
 
     source = inspect.getsource(line_templates)
     assert not any(x in source for x in ("mapIn", "applyIn", "udf", "pandas", "rdd"))
+
+
+def test_line_templates_against_sql(spark, small):
+    duckdb = __import__("pytest").importorskip("duckdb")
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    wanted = db.sql(entry.oracle_sql()["op8_line_templates"])
+    at = [wanted.columns.index(c) for c in ("doc_id", "text", "n_lines", "n_dropped")]
+    got = queries.QUERIES["op8_line_templates"](spark, small).select("doc_id", "text", "n_lines", "n_dropped").collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r[i] for i in at) for r in wanted.fetchall())
