@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, prepare
+from docengine.llm.common import Scratch, prepare, small_side
 
 LEADING = 3
 LEAST_TOKENS = 3
@@ -31,14 +31,11 @@ LEAST_CONTEXTS = 3
 FIELD = "<*>"
 
 
-def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, " "), lambda t: t != "")
-
-
-def _masked(tokens: Column, line: Column) -> Column:
-    """Tokens with variable fields masked."""
-    masked = F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
-    return F.when(line.rlike("[0-9]"), masked).otherwise(tokens)
+def _form(line: Column) -> Column:
+    """The tokens of a line with single blanks between them, variable fields masked."""
+    plain = F.trim(F.when(line.contains("  "), F.regexp_replace(line, " +", " ")).otherwise(line))
+    masked = F.transform(F.split(plain, " "), lambda t: F.when(t.rlike("[0-9]"), F.lit(FIELD)).otherwise(t))
+    return F.when(plain.rlike("[0-9]"), F.array_join(masked, " ")).otherwise(plain)
 
 
 def _key(*parts: Column) -> Column:
@@ -59,21 +56,28 @@ def parsed(docs: DataFrame) -> DataFrame:
     lines = F.split("text", "\n")
     forms = docs.where(F.col("text").isNotNull()).select(
         row_key(docs).alias("row"),
-        F.transform(lines, lambda x: F.array_join(_masked(_tokens(x), x), " ")).alias("forms"))
-    spread = forms.select("row", "forms", F.posexplode("forms").alias("line_no", "masked"))
-    tokens = F.split("masked", " ")
-    beside = [F.coalesce(F.get("forms", F.col("line_no") + d), F.lit("\x02")) for d in (-1, 1)]
-    return spread.where(F.size(tokens) >= LEAST_TOKENS).select(
-        "row", "line_no", "masked", F.size(tokens).alias("n_tokens"),
-        _key(F.size(tokens).cast("string"), F.array_join(F.slice(tokens, 1, LEADING), " ")).alias("leaf"),
-        _key(F.col("masked")).alias("body"), _key(*beside).alias("context"))
-
-
-def followed(lines: DataFrame, keys: DataFrame) -> DataFrame:
+        F.transform(lines, _form).alias("forms"))
+    # Neighbours come from the array moved by one, so that a line's row does not carry its document.
+    keys, edge, n = F.col("keys"), F.array(F.unhex(F.lit("00"))), F.size("keys")
+    moved = forms.select("row", "forms", F.transform("forms", lambda m: _key(m)).alias("keys")).select(
+        "row", F.col("forms").alias("masked"), keys.alias("body"),
+        F.concat(edge, F.slice(keys, 1, n - 1)).alias("before"), F.concat(F.slice(keys, 2, n - 1), edge).alias("after"))
+    spread = moved.select("row", F.posexplode(F.arrays_zip("masked", "body", "before", "after")).alias("line_no", "line")).select(
+        "row", "line_no", "line.masked", "line.body", F.concat("line.before", "line.after").alias("context"))
+    n_tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
+    return spread.withColumn("n_tokens", n_tokens).where(F.col("n_tokens") >= LEAST_TOKENS).select(
+        "row", "line_no", "masked", "n_tokens",
+        _key(F.col("n_tokens").cast("string"), F.substring_index("masked", " ", LEADING)).alias("leaf"),
+        "body", "context")
+
+
+def followed(lines: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
     """(leaf, body) of the lines that follow the template of their leaf."""
     several = keys.groupBy("leaf").agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select("leaf")
+    several = small_side(several, 40)
     bodies = (lines.join(several, "leaf", "left_semi").groupBy("leaf", "body", "n_tokens", "masked")
               .agg(F.count("*").alias("lines")))
+    bodies = scratch.write(bodies, "bodies")  # read twice
     places = bodies.select("leaf", "body", "n_tokens", "lines",
                            F.posexplode(F.split("masked", " ")).alias("place", "token"))
     tokens = places.groupBy("leaf", "place", "token").agg(F.sum("lines").alias("lines"))
@@ -114,7 +118,7 @@ def without_templates(docs: DataFrame) -> DataFrame:
     # The keys alone are written; the masked lines are read again for the few leaves that need them.
     keys = scratch.write(lines.select("row", "line_no", "leaf", "body", "context").dropDuplicates(["row", "line_no"]),
                          "keys")
-    follow = scratch.write(followed(lines, keys), "follow")
+    follow = scratch.write(followed(lines, keys, scratch), "follow")
     drops = scratch.write(recurring(keys, follow).groupBy("row").agg(F.collect_set("line_no").alias("drop_lines")),
                           "drops")
     clash = {c: f"{c}__kept" for c in docs.columns if c in ("row", "drop_lines")}
@@ -122,7 +126,7 @@ def without_templates(docs: DataFrame) -> DataFrame:
     all_lines = F.split("text", "\n")
     dropped = F.coalesce(F.size("drop_lines"), F.lit(0))
     kept = F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains("drop_lines", i)), "\n")
-    out = held.withColumn("row", row_key(held)).join(drops, "row", "left")
+    out = held.withColumn("row", row_key(held)).join(small_side(drops, 200), "row", "left")
     columns = [(F.when(dropped > 0, kept).otherwise(F.col("text")) if c == "text" else F.col(clash.get(c, c))).alias(c)
                for c in docs.columns]
     return out.select(*columns, F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"),
