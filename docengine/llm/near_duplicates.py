@@ -11,7 +11,7 @@ Documents of equal sets are one node from the start.  Buckets of up to
 pivots at a time: nodes that links have joined in the meantime need no
 comparison, so a group of thousands of copies takes one or two pivots.  A
 pivot that was compared with all others leaves its bucket, the number of
-pivots doubles from round to round, and rounds go on until no bucket holds two
+pivots quadruples from round to round, and rounds go on until no bucket holds two
 nodes that are neither joined nor compared.  No bucket is cut, and no pair is
 lost but by the hashing itself.  Candidates pass the similarity of their
 signatures (with room for its error) and then that of their whole sets,
@@ -31,13 +31,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, batch, mix, prepare, small_side, text_column, texts
+from docengine.llm.common import Scratch, ascending, batch, mix, prepare, small_side, text_column, texts
 
 WORDS = 5
-SMALL = 8
+SMALL = 16
 SIMILAR = (80, 100)   # intersection / union at least 80 / 100
 ROOM = 6              # standard deviations of the signature's estimate that a candidate may fall short
 CHUNK = 1 << 15       # shingles hashed at once
@@ -96,7 +96,7 @@ class Shingler:
         total = np.full(len(values) - width + 1, width, np.uint64)
         for k in range(width):
             total = mix(total * _BASE + values[k:len(values) - width + 1 + k])
-        return np.unique(total)
+        return ascending(total)
 
 
 def minima(sets: list[np.ndarray], multiply: np.ndarray, add: np.ndarray) -> np.ndarray:
@@ -231,12 +231,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
                  .union(least.select("a", F.col("m").alias("b"))).distinct())
         step += 1
-        edges = scratch.write(small, f"{name}-{step}")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = Observation()  # comes with the write, without a job of its own
+        edges = scratch.write(small.observe(state, F.count("*").alias("n"), F.sum(
+            F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")), f"{name}-{step}")
+        now = state.get
         scratch.drop(f"{name}-{step - 1}", f"{name}-large-{step - 1}")
-        if tuple(now) == before:
+        if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = tuple(now)
+        before = now
 
 
 def joined(members: DataFrame, component: DataFrame | None) -> DataFrame:
@@ -269,7 +271,7 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
     close = few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket")
     pairs = close.where("a < b").select("a", "b")
     rest = members.where(F.col("size") > SMALL).select("bucket", "node")
-    links, component, pivots, step = [], None, 1, 0
+    links, component, pivots, step = [], None, 2, 0
     while True:
         state = joined(rest, component)
         if component is not None or step == 0:
@@ -285,14 +287,15 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
         against = (rest.join(chosen, "bucket").where("component <> of")
                    .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")))
         pairs = against if pairs is None else pairs.union(against)
-        pairs = scratch.write(pairs.distinct(), f"pairs-{step}")
-        if not pairs.take(1):
+        size = Observation()
+        pairs = scratch.write(pairs.distinct().observe(size, F.count("*").alias("n")), f"pairs-{step}")
+        if not size.get["n"]:
             break
         links.append(scratch.write(verified(pairs, held, similar, layout), f"links-{step}"))
         component = components(reduce(DataFrame.union, links), scratch, f"components-{step}")
         rest = rest.select("bucket", "node").join(
             chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-        pairs, pivots, step = None, pivots * 2, step + 1
+        pairs, pivots, step = None, pivots * 4, step + 1
     scratch.drop("members", "asked", "held")
     return component
 
