@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, prepare, small_side
+from docengine.llm.common import Scratch, prepare, release, small_side
 
 LEADING = 3
 LEAST_TOKENS = 3
@@ -118,15 +118,17 @@ def without_templates(docs: DataFrame) -> DataFrame:
     # The keys alone are written; the masked lines are read again for the few leaves that need them.
     keys = scratch.write(lines.select("row", "line_no", "leaf", "body", "context").dropDuplicates(["row", "line_no"]),
                          "keys")
+    release(spark)
     follow = scratch.write(followed(lines, keys, scratch), "follow")
     drops = scratch.write(recurring(keys, follow).groupBy("row").agg(F.collect_set("line_no").alias("drop_lines")),
                           "drops")
+    release(spark)
     clash = {c: f"{c}__kept" for c in docs.columns if c in ("row", "drop_lines")}
     held = docs.withColumnsRenamed(clash)
     all_lines = F.split("text", "\n")
     dropped = F.coalesce(F.size("drop_lines"), F.lit(0))
     kept = F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains("drop_lines", i)), "\n")
-    out = held.withColumn("row", row_key(held)).join(small_side(drops, 200), "row", "left")
+    out = held.withColumn("row", row_key(held)).join(drops, "row", "left")
     columns = [(F.when(dropped > 0, kept).otherwise(F.col("text")) if c == "text" else F.col(clash.get(c, c))).alias(c)
                for c in docs.columns]
     return out.select(*columns, F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"),
