@@ -9,7 +9,9 @@ terms, less theirs, are intersected with them from rare to frequent.  With a
 ``slop`` a term may stand that many words off its place: proximity matches.
 
 Segments are searched where they are read.  The test set is the stated query
-set; it goes to the tasks in slices of ``SLICE_BYTES`` of text.
+set; it goes to the tasks in slices of ``SLICE_BYTES`` of text.  Documents are
+numbered once: every slice has an index of its own, whose segments may hold
+other documents, and hits of all slices meet by the documents' numbers.
 """
 
 from __future__ import annotations
@@ -61,25 +63,27 @@ def phrases(rows: list[tuple[str, str | None]], width: int = WINDOW) -> Phrases:
     return Phrases(terms, windows, [sorted(x) for x in found.values()])
 
 
-SEGMENT = ("segment long, doc_ids array<long>, first array<int>, n_words array<int>, "
+SEGMENT = ("numbers array<long>, doc_ids array<long>, first array<int>, n_words array<int>, "
            "terms array<int>, counts array<int>, postings binary")
-_SEGMENT = pa.schema([("segment", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("first", pa.list_(pa.int32())),
-                      ("n_words", pa.list_(pa.int32())), ("terms", pa.list_(pa.int32())),
-                      ("counts", pa.list_(pa.int32())), ("postings", pa.binary())])
+_SEGMENT = pa.schema([("numbers", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
+                      ("first", pa.list_(pa.int32())), ("n_words", pa.list_(pa.int32())),
+                      ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("postings", pa.binary())])
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, number); the numbers stay only once they are written."""
+    return texts(docs).withColumn("number", F.monotonically_increasing_id())
 
 
 def index(docs: DataFrame, terms: dict[bytes, int], gap: int = WINDOW + 2 * SLOP) -> DataFrame:
-    """Segments of ``docs``: one per Arrow batch, with the postings of ``terms``.
+    """Segments of ``numbered`` documents: one per Arrow batch, with the postings of ``terms``.
 
     Positions count through a segment; ``gap`` free positions between
     documents keep phrases from crossing them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        for k, b in enumerate(b for b in batches if b.num_rows):
+        for b in (b for b in batches if b.num_rows):
             number = terms.get
             first, lengths, ids, at = [], [], [], 0
             for text in text_column(b):
@@ -93,11 +97,11 @@ def index(docs: DataFrame, terms: dict[bytes, int], gap: int = WINDOW + 2 * SLOP
             known = np.flatnonzero(flat >= 0)
             order = known[np.argsort(flat[known], kind="stable")].astype(np.int32)
             present, counts = np.unique(flat[known], return_counts=True)
-            yield batch({"segment": [(part << 32) + k], "doc_ids": [b.column(0).to_pylist()], "first": [first],
-                         "n_words": [lengths], "terms": [present], "counts": [counts],
+            yield batch({"numbers": [text_column(b, "number")], "doc_ids": [text_column(b, "doc_id")],
+                         "first": [first], "n_words": [lengths], "terms": [present], "counts": [counts],
                          "postings": [order.tobytes()]}, _SEGMENT)
 
-    return texts(docs).mapInArrow(run, SEGMENT)
+    return docs.mapInArrow(run, SEGMENT)
 
 
 def frequencies(segments: DataFrame, size: int) -> np.ndarray:
@@ -155,8 +159,8 @@ def matches(postings: Postings, windows: np.ndarray, order: np.ndarray, slop: in
         done = upto
 
 
-HITS = ("segment long, doc int, spans array<struct<first:int,last:int>>, items array<string>, near_items array<string>")
-_HITS = pa.schema([("segment", pa.int64()), ("doc", pa.int32()),
+HITS = "number long, spans array<struct<first:int,last:int>>, items array<string>, near_items array<string>"
+_HITS = pa.schema([("number", pa.int64()),
                    ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
                    ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
 
@@ -202,12 +206,12 @@ def search(segments: DataFrame, slice_: Phrases, total: np.ndarray, slop: int =
                 for d, w in near:
                     close.setdefault(d, set()).update(items[w])
                 found = sorted(close)
-                yield batch({"segment": [r["segment"]] * len(found), "doc": found,
+                yield batch({"number": [r["numbers"][d] for d in found],
                              "spans": [spans.get(d, []) for d in found],
                              "items": [sorted(hit.get(d, ())) for d in found],
                              "near_items": [sorted(close[d]) for d in found]}, _HITS)
 
-    return segments.select("segment", "first", "n_words", "terms", "counts", "postings").mapInArrow(run, HITS)
+    return segments.select("numbers", "first", "n_words", "terms", "counts", "postings").mapInArrow(run, HITS)
 
 
 def _covered(spans: Column) -> Column:
@@ -235,27 +239,31 @@ def contaminated(docs: DataFrame, bench: DataFrame, width: int = WINDOW, slop: i
     held = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     slices = max(1, -(-held // SLICE_BYTES))
     of_slice = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
+    # The one index of a single slice keeps the numbers; several take them from a written table.
+    own = numbered(docs) if slices == 1 else scratch.write(numbered(docs), "numbered")
     hits, extents = [], None
     for k in range(slices):
         rows = [(r["item_id"], r["text"]) for r in bench.where(of_slice == k).distinct().collect()]  # one slice
         asked = phrases(rows, width)
-        segments = scratch.write(index(docs, asked.terms, width + 2 * slop), f"index-{k}")
+        segments = scratch.write(index(own, asked.terms, width + 2 * slop), f"index-{k}")
         total = frequencies(segments, len(asked.terms))
         hits.append(scratch.write(search(segments, asked, total, slop), f"hits-{k}"))
         if k == 0:
             extents = scratch.write(segments.select(
-                "segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("doc", "d")).select(
-                "segment", "doc", F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").alias("n_words")), "extents")
+                F.explode(F.arrays_zip("numbers", "doc_ids", "n_words")).alias("d")).select(
+                F.col("d.numbers").alias("number"), F.col("d.doc_ids").alias("doc_id"),
+                F.col("d.n_words").alias("n_words")), "extents")
         scratch.drop(f"index-{k}")
+    scratch.drop("numbered")
     every = hits[0]
     for h in hits[1:]:
         every = every.unionByName(h)
     strings = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    per_doc = every.groupBy("segment", "doc").agg(
+    per_doc = every.groupBy("number").agg(
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         strings("items").alias("items"), strings("near_items").alias("near_items"))
     none = F.array().cast("array<string>")
-    return extents.join(per_doc, ["segment", "doc"], "left").select(
+    return extents.join(per_doc, "number", "left").select(
         "doc_id", F.col("n_words").cast("long").alias("n_words"),
         F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", none).alias("items"),

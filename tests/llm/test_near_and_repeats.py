@@ -119,6 +119,22 @@ def test_decontamination(spark, monkeypatch):
         assert len(inside) == r.n_hit and set(r["items"]) <= set(r.near_items)
 
 
+def test_slices_agree_on_documents_whose_order_changes(spark, monkeypatch):
+    """Every pass over the documents gives them in another order and other partitions."""
+    from pyspark.sql import functions as F
+
+    words = BASE.split()
+    items = [(k, " ".join(words[k:k + 10])) for k in range(0, 30, 5)]
+    rows = [(i, " ".join([f"own{i}", *words[i:i + 12], f"tail{i}"])) for i in range(28)]
+    monkeypatch.setattr(decontamination, "SLICE_BYTES", 40)
+    draw = F.udf(lambda i: int.from_bytes(os.urandom(4), "big"), "long").asNondeterministic()
+    docs = documents(spark, rows).withColumn("draw", draw("doc_id")).repartition(3, "draw").sortWithinPartitions("draw")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, list(r["items"])) for r in decontamination.contaminated(docs, bench).collect()}
+    wanted = {i: hits(t, items) for i, t in rows}
+    assert got == {i: (len(hit), found) for i, (_, hit, found) in wanted.items()}
+
+
 def test_proximity_matches(spark):
     words = BASE.split()
     bench = spark.createDataFrame([(1, " ".join(words[:10]))], "item_id long, text string")
