@@ -78,14 +78,15 @@ def numbered(docs: DataFrame) -> DataFrame:
 def index(docs: DataFrame, terms: dict[bytes, int], gap: int = WINDOW + 2 * SLOP) -> DataFrame:
     """Segments of ``numbered`` documents: one per Arrow batch, with the postings of ``terms``.
 
-    Positions count through a segment; ``gap`` free positions between
-    documents keep phrases from crossing them.
+    Positions count through a segment; ``gap`` free positions before each
+    document keep phrases from crossing them, and leave room for a proximity
+    match that begins before its document does.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (b for b in batches if b.num_rows):
             number = terms.get
-            first, lengths, ids, at = [], [], [], 0
+            first, lengths, ids, at = [], [], [np.full(gap, -1, np.int32)], gap
             for text in text_column(b):
                 own = [number(w, -1) for w in words(text)]
                 first.append(at)

@@ -146,6 +146,19 @@ def test_proximity_matches(spark):
     assert [got[i].n_hit for i in (1, 2, 3)] == [0, 0, 10]
 
 
+def test_proximity_match_at_the_start_of_a_segment(spark):
+    """The rarest word stands one early at the very start of the only document of its segment."""
+    words = BASE.split()[:10]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    swapped = " ".join([words[1], words[0], *words[2:]])
+    common = " ".join(w for w in words if w != words[1])
+    rows = [(1, swapped), (2, common), (3, f"before it {swapped}")]
+    docs = documents(spark, rows).repartitionByRange(3, "doc_id")
+    got = {r.doc_id: r for r in decontamination.contaminated(docs, bench).collect()}
+    assert [list(got[i].near_items) for i in (1, 2, 3)] == [["1"], [], ["1"]]
+    assert [got[i].n_hit for i in (1, 2, 3)] == [0, 0, 0]
+
+
 def test_without_benchmark_keeps_clean_documents(spark):
     bench = spark.createDataFrame([(1, BASE)], "item_id long, text string")
     kept = decontamination.without_benchmark(documents(spark), bench)
