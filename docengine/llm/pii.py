@@ -5,6 +5,11 @@ payment card keep a right check digit, a date stays a date in its notation.
 The permutation depends on the key and the kind of value alone, so equal
 values get equal pseudonyms in every document, and ``restore`` with the key
 brings them back.  Nothing is shuffled: each text is its own work.
+
+An IBAN is read in one piece or in groups of four, a telephone number in North
+American notation or as an international one with its plus.  What looks like an
+IBAN but fails its check is searched for other values; should their pseudonyms
+make it pass, which one such text in 97 does, ``restored`` takes it for one.
 """
 
 from __future__ import annotations
@@ -68,17 +73,43 @@ def iban_check(country: str, account: str) -> str:
     return f"{98 - int(value) % 97:02d}"
 
 
+# Characters of an IBAN by country, from the registry: in grouped print they tell where it ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+# Country codes of telephone numbers have 1, 2 or else 3 digits.
+SHORT_CODES = {"1", "7"}
+TWO_DIGIT_CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 "
+                      "66 81 82 84 86 90 91 92 93 94 95 98".split())
+
 # Fixed formats.  A number is not part of a longer number or word.
 DAY = r"(?:0?[1-9]|[12]\d|3[01])"
 MONTH = r"(?:0?[1-9]|1[0-2])"
 YEAR = r"(?:19|20)\d\d"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# In one piece for any country, or in groups of four for those of known length.
+_GROUPED = "|".join(rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}"
+                    + (rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, countries in IBAN_LENGTHS.items())
+# Shapes of other formats, which an international number does not run into.
+_OTHER = (r"(?:\d{3}-\d\d-\d{4}(?!\d)|\d{4}-\d\d?-\d\d?(?!\d)|\d\d?-\d\d?-\d{4}(?!\d)"
+          r"|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d|\d{4}[ -]\d{6}[ -]\d{5}(?!\d))")
+_DOTTED = r"(?:\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)|\d\d?\.\d\d?\.\d{4}(?!\d)|\d{4}\.\d\d\.\d\d(?!\d))"
+_PHONES = (
+    r"(?<!\w)\+?1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)",
+    r"(?<![\w+.-])\+?1[ .-][2-9]\d{2}[ .-]\d{3}[ .-]\d{4}(?![\d-])",
+    # International: 8 to 15 digits after the plus, in groups or not.
+    rf"(?<![\w+)])\+(?!{_OTHER})[1-9](?:(?: (?!{_OTHER})|-|[ -]?\(|\)(?: (?!{_OTHER})|-)?)?\d){{7,14}}(?!\d|[-./]\d)",
+    rf"(?<![\w+)])\+(?!{_DOTTED})[1-9](?:\.?\d){{7,14}}(?!\d|[-./]\d)",
+    r"(?<![\w.-])(?:\([2-9]\d{2}\)[ .-]?|\(?[2-9]\d{2}\)?[ .-])\d{3}[ .-]\d{4}(?![\d-])",
+)
 PATTERNS = {
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d{{2}})(?:[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}}|{_GROUPED})(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)",
     "date_iso": rf"(?<![\d/.-]){YEAR}([-/.])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])(?![\d/-])",
     "date_num": rf"(?<![\d/.-]){DAY}([-/.]){DAY}\1{YEAR}(?![\d/-])",
-    "phone": r"(?<!\w)\+?1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\(?[2-9]\d{2}\)?[ .-]\d{3}[ .-]\d{4}(?![\d-])",
+    "phone": "|".join(_PHONES),
     "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])",
     "card": r"(?<![\d-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5}|\d{13,19})(?![\d-])",
 }
@@ -105,6 +136,7 @@ def _combined() -> re.Pattern:
 
 ANY = _combined()
 DIGIT = re.compile("[0-9]")
+DIGITS, LETTERS = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST_DAY + 1
@@ -116,6 +148,10 @@ def _fill(shape: str, digits: str) -> str:
     return "".join(next(it) if c.isdigit() else c for c in shape)
 
 
+def _country_code(digits: str) -> str:
+    return digits[:1 if digits[0] in SHORT_CODES else 2 if digits[:2] in TWO_DIGIT_CODES else 3]
+
+
 class Pseudonyms:
     """Pseudonyms (or with ``inverse`` the originals) of values of the known formats."""
 
@@ -144,6 +180,9 @@ class Pseudonyms:
             body = self._digits(kind, digits[:-1])
             return kind, _fill(text, body + str(luhn_digit(body)))
         if kind == "phone":
+            if text[0] == "+" and (digits[0] != "1" or len(digits) != 11):
+                code = _country_code(digits)
+                return kind, _fill(text, code + self._digits(f"phone+{code}", digits[len(code):]))
             prefix = "1" if len(digits) == 11 else ""
             return kind, _fill(text, prefix + self._phone(digits[-10:]))
         if kind == "ssn":
@@ -154,11 +193,24 @@ class Pseudonyms:
                 x = x << 8 | int(part)
             x = self._permuted(kind, x, 1 << 32)
             return kind, ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
-        country, check, account = text[:2], text[2:4], text[4:]
+        country, check, account = text[:2], text[2:4], text[4:].replace(" ", "")
         if iban_check(country, account) != check:
             return None
-        account = self._digits(f"iban{country}", account)
-        return "iban", country + iban_check(country, account) + account
+        account = self._account(f"iban{country}", account)
+        it = iter(country + iban_check(country, account) + account)
+        return "iban", "".join(c if c == " " else next(it) for c in text)
+
+    def _account(self, kind: str, account: str) -> str:
+        """Digits stay digits and letters letters, each place in its own alphabet."""
+        alphabets = [DIGITS if c in DIGITS else LETTERS for c in account]
+        x, size = 0, 1
+        for c, alphabet in zip(account, alphabets):
+            x, size = x * len(alphabet) + alphabet.index(c), size * len(alphabet)
+        x, out = self._permuted(kind, x, size), []
+        for alphabet in reversed(alphabets):
+            x, k = divmod(x, len(alphabet))
+            out.append(alphabet[k])
+        return "".join(reversed(out))
 
     def _phone(self, digits: str) -> str:
         """Area codes from 200 on stay so, that the result reads as a number of the same kind."""
@@ -218,17 +270,20 @@ class Pseudonyms:
         """The text with its values replaced, and (kind, start, end, pseudonym) of each in the new text."""
         if not DIGIT.search(text):
             return text, []
-        out, spans, at, length = [], [], 0, 0
-        for m in ANY.finditer(text):
-            found = self.value(m.lastgroup if m.lastgroup in PATTERNS else m.lastgroup.rsplit("_", 1)[0], m.group())
+        out, spans, at, length, m = [], [], 0, 0, ANY.search(text)
+        while m:
+            kind = m.lastgroup if m.lastgroup in PATTERNS else m.lastgroup.rsplit("_", 1)[0]
+            found, here = self.value(kind, m.group()), m
+            # What only looks like a grouped IBAN may hold other values.
+            m = ANY.search(text, here.start() + 4 if found is None and kind == "iban" else here.end())
             if found is None:
                 continue
             kind, new = found
-            out += [text[at:m.start()], new]
-            length += m.start() - at
+            out += [text[at:here.start()], new]
+            length += here.start() - at
             spans.append((kind, length, length + len(new), new))
             length += len(new)
-            at = m.end()
+            at = here.end()
         out.append(text[at:])
         return "".join(out), spans
 

@@ -129,6 +129,55 @@ def test_random_values_round_trip():
             len(z) - len(v) for v, z in zip(values, new.split(" and ")))
 
 
+@pytest.mark.parametrize("kind, value", [
+    ("iban", "GB82WEST12345698765432"), ("iban", "GB82 WEST 1234 5698 7654 32"), ("iban", "NL91ABNA0417164300"),
+    ("iban", "FR14 2004 1010 0505 0001 3M02 606"), ("iban", "IT60 X054 2811 1010 0000 0123 456"),
+    ("iban", "DE89 3704 0044 0532 0130 00"), ("iban", "BE68 5390 0754 7034"), ("iban", "DE89370400440532013000"),
+    ("phone", "+1-555-123-4567"), ("phone", "1-800-555-1234"), ("phone", "+1 555 123 4567"), ("phone", "+1.555.123.4567"),
+    ("phone", "(555)123-4567"), ("phone", "(555) 123-4567"), ("phone", "555-123-4567"), ("phone", "+15551234567"),
+    ("phone", "+442079460958"), ("phone", "+44 20 7946 0958"), ("phone", "+49 (0)30 123456"), ("phone", "+33 1 23 45 67 89"),
+    ("phone", "+353-1-234-5678"), ("phone", "+61 2 9374 4000")])
+@pytest.mark.parametrize("around", ["{}", "Write to {}, or not.", "at {} AND MORE on 2024-02-29", "[{}]"])
+def test_forms_of_ibans_and_phones(kind, value, around):
+    text = around.format(value)
+    new, spans = pii.Pseudonyms(KEY).text(text)
+    assert [k for k, *_ in spans if k != "date"] == [kind]
+    found = next(v for k, *_, v in spans if k == kind)
+    assert found != value and len(found) == len(value)
+    same = lambda c: "9" if c.isdigit() else "A" if c.isalpha() else c
+    assert "".join(map(same, found)) == "".join(map(same, value))
+    assert pii.Pseudonyms(KEY, inverse=True).text(new)[0] == text
+    if kind == "iban":
+        plain = found.replace(" ", "")
+        assert plain[:2] == value[:2] and pii.iban_check(plain[:2], plain[4:]) == plain[2:4]
+
+
+def test_equal_accounts_and_numbers_stay_equal():
+    names = pii.Pseudonyms(KEY)
+    one = lambda t: names.text(t)[1][0][3]
+    assert one("GB82 WEST 1234 5698 7654 32").replace(" ", "") == one("GB82WEST12345698765432")
+    digits = lambda t: "".join(c for c in one(t) if c.isdigit())[-10:]
+    assert len({digits(t) for t in ("+1-555-123-4567", "(555)123-4567", "555.123.4567", "+15551234567")}) == 1
+    assert one("+44 20 7946 0958").replace(" ", "") == one("+442079460958") != "+442079460958"
+
+
+def test_international_numbers_leave_their_neighbours():
+    for text, kinds in (("+1 10.0.0.1", ["ip"]), ("+10.0.0.1", ["ip"]), ("+1 2024-02-29", ["date"]),
+                        ("+12.12.2024", ["date"]), ("+49 078-05-1120", ["ssn"]),
+                        ("+12345678 4111 1111 1111 1111", ["phone", "card"]), ("+31.20.123.45.67", ["phone"])):
+        new, spans = pii.Pseudonyms(KEY).text(text)
+        assert [k for k, *_ in spans] == kinds
+        assert pii.Pseudonyms(KEY, inverse=True).text(new)[0] == text
+
+
+def test_wrong_ibans_stay_and_hide_nothing():
+    for text in ("GB83WEST12345698765432", "GB83 WEST 1234 5698 7654 32", "AB12CDEFGHIJKLMNOPQ", "DE12 ABCD"):
+        assert pii.Pseudonyms(KEY).text(text) == (text, [])
+    # A card or a phone after what looks like the head of a grouped IBAN.
+    for text, kind in (("DE12 4111 1111 1111 1111 22", "card"), ("DE12 555-123-4567", "phone")):
+        assert [k for k, *_ in pii.Pseudonyms(KEY).text(text)[1]] == [kind]
+
+
 def test_pseudonymized_tables(spark):
     rows = [(1, TEXT), (2, "the same 4111111111111111"), (3, None), (4, ""), (2, "the same 4111111111111111")]
     docs = clashing(documents(spark, rows), "pii_values", "kind")
