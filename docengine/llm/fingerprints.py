@@ -5,7 +5,9 @@ value over the shingles of a text (its low 16 bits), computed in numpy over
 batches of documents.  Equal texts have equal fingerprints, and the share of
 equal places estimates the Jaccard similarity of the shingle sets.  Bands of
 fingerprints are joined in Spark to find documents that are alike; their
-Jaccard similarity is verified on whole texts.
+Jaccard similarity is verified on whole texts.  Documents count as one without
+that only if their shingle sets are equal (by a digest of the whole set): texts
+that differ in a few shingles often share a fingerprint.
 
 To set a document beside the next one, documents are dealt into ranges of
 doc_id and read in order; the first document of a range goes to the end of the
@@ -39,9 +41,11 @@ class Printer:
         self.multiply, self.add = coefficients(HASHES, seed=2)
 
     def prints(self, texts: list[str]) -> np.ndarray:
-        sets = [self.shingler.shingles(t) for t in texts]
+        return self.of_sets([self.shingler.shingles(t) for t in texts])
+
+    def of_sets(self, sets: list[np.ndarray]) -> np.ndarray:
         full = np.array([len(s) > 0 for s in sets], bool)
-        out = np.full((len(texts), HASHES), 0xFFFF, "<u2")
+        out = np.full((len(sets), HASHES), 0xFFFF, "<u2")
         if full.any():
             out[full] = minima([s for s in sets if len(s)], self.multiply, self.add) & 0xFFFF
         return out
@@ -85,15 +89,18 @@ def _ranges(own: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     return dealt, first.select(*own.columns, "range"), parts
 
 
-ROWS = ("doc_id long, text_key binary, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+ROWS = ("doc_id long, text_key binary, set_key binary, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
         "near_edited double, near_next double")
-_ROWS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_chars", pa.int64()),
+_ROWS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("set_key", pa.binary()), ("n_chars", pa.int64()),
                    ("edited_sha256", pa.string()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
                    ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
 def beside_next(own: DataFrame) -> DataFrame:
-    """Fingerprints of every text, of its edited text, and their likenesses; ``own`` is ``keyed``."""
+    """Fingerprints of every text, of its edited text, and their likenesses; ``own`` is ``keyed``.
+
+    set_key is equal for equal shingle sets and null for empty ones.
+    """
     dealt, first, parts = _ranges(own)
     both = dealt.withColumn("head", F.lit(0)).unionByName(first.withColumn("head", F.lit(1)))
     sorted_ = both.repartition(parts, "range").sortWithinPartitions("range", "head", "doc_id", "text_key")
@@ -105,13 +112,15 @@ def beside_next(own: DataFrame) -> DataFrame:
             rows = list(zip(*(text_column(b, c) for c in ("range", "head", "doc_id", "text_key", "text"))))
             if not rows:
                 continue
-            prints = printer.prints([r[4] for r in rows])
+            sets = [printer.shingler.shingles(r[4]) for r in rows]
+            keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
+            prints = printer.of_sets(sets)
             pairs = []
-            for row, own_print in zip(rows, prints):
+            for row, own_print, set_key in zip(rows, prints, keys):
                 # A document and the one after it; after the range's head nothing waits.
                 if last is not None and last[0][0] == row[0]:
                     pairs.append((last, (row, own_print)))
-                last = None if row[1] else (row, own_print)
+                last = None if row[1] else (row, own_print, set_key)
             if not pairs:
                 continue
             changed = [edited(a[0][4], z[0][4]) for a, z in pairs]
@@ -119,6 +128,7 @@ def beside_next(own: DataFrame) -> DataFrame:
             after = printer.prints(changed)
             yield batch({
                 "doc_id": [a[0][2] for a, _ in pairs], "text_key": [a[0][3] for a, _ in pairs],
+                "set_key": [a[2] for a, _ in pairs],
                 "n_chars": [len(a[0][4]) for a, _ in pairs],
                 "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
                 "fingerprint": [p.tobytes() for p in mine], "edited_fingerprint": [p.tobytes() for p in after],
@@ -143,11 +153,8 @@ def fingerprinted(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFr
     own = keyed(docs)
     rows = scratch.write(beside_next(own), "prints")
     release(spark)
-    empty = F.lit(bytearray(b"\xff" * 2 * HASHES))
-    signed = rows.select("doc_id", "text_key", F.when(F.col("fingerprint") != empty, F.col("fingerprint")).alias("set_key"),
-                         F.col("fingerprint").alias("signature"))
-    named = grouped(signed, own, scratch, similar, LAYOUT).withColumnRenamed("set_key", "fingerprint")
-    found = rows.join(named, "fingerprint", "left")
+    signed = rows.select("doc_id", "text_key", "set_key", F.col("fingerprint").alias("signature"))
+    found = rows.join(grouped(signed, own, scratch, similar, LAYOUT), "set_key", "left")
     return found.select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",

@@ -190,6 +190,21 @@ def test_fingerprints(spark):
     assert by_id[11].edited_sha256 == sha((last[:len(last) - len(last) // 4] + texts[None][:len(last) // 4]).encode())
 
 
+def test_links_of_texts_with_equal_fingerprints(spark):
+    """1 has the fingerprint of 2, one shingle more, and so just misses 3, with which 2 links."""
+    second = " ".join(f"w{k}" for k in range(104))
+    third = " ".join(second.split()[:92])
+    print_of = lambda t: fingerprints.Printer().prints([t]).tobytes()
+    first = next(t for k in range(200) if print_of(t := f"{second} u{k}") == print_of(second))
+    a, b, c = (shingles(t) for t in (first, second, third))
+    bound = (len(b & c), len(b | c))
+    assert len(a & c) * bound[1] < bound[0] * len(a | c) and len(a & b) * bound[1] >= bound[0] * len(a | b)
+    got = {r.doc_id: r for r in fingerprints.fingerprinted(
+        documents(spark, [(1, first), (2, second), (3, third)]), bound).collect()}
+    assert got[1].fingerprint == got[2].fingerprint != got[3].fingerprint
+    assert [got[i].group_id for i in (1, 2, 3)] == [1, 1, 1]
+
+
 def test_empty_tables(spark):
     empty = documents(spark, [])
     bench = spark.createDataFrame([(1, BASE)], "item_id long, text string")
