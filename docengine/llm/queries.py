@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docengine.llm import (
     decontamination, fingerprints, html_text, language_model, line_templates, near_duplicates, packing, periodic, pii,
-    repeats, token_counts, toxicity,
+    ranked_search, repeats, token_counts, toxicity,
 )
 from docengine.llm.common import table
 
@@ -127,3 +127,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(F.transform(lines, lambda s: F.concat(s, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
