@@ -2,11 +2,11 @@
 
 A document is the vector of its integer term scores, a query the set of its
 terms, the score their inner product.  Only terms that some query asks for can
-add to one, so vectors are kept in those terms; they are ordered by their
-rarest term, which brings together the documents that answer the same queries,
-and cut into blocks of ``BLOCK`` documents.  Each block is a ball tree: every
-node has the centroid of its documents and their largest distance from it.  A
-query's score in a node is at most
+add to one, so vectors are kept in those terms; they are ordered by the sides
+of some planes that they lie on, which brings like ones together, and cut into
+blocks of ``BLOCK`` documents.  Each block is a ball tree: every node has the
+centroid of its documents and their largest distance from it.  A query's score
+in a node is at most
 
     q . centroid + |q| * radius
 
@@ -40,14 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, batch, prepare, shards, text_column, texts
+from docengine.llm.common import Scratch, batch, mix, prepare, shards, text_column, texts
 from docengine.llm.decontamination import words
 
 TOP = 50
 BLOCK = 4096  # documents in a tree
 ENTRIES = 1 << 19  # terms of documents in a tree, but for one longer document
 LEAF = 32  # documents in a leaf at most
-BY_QUERY, BY_COUNT = 32, 16  # groups of terms that few queries hold, and of the others
+BY_QUERY, BY_COUNT = 384, 128  # groups of terms that few queries hold, and of the others
 GROUPS = BY_QUERY + BY_COUNT
 FEW = 3  # queries
 SLICE_BYTES = 8 << 20
@@ -58,8 +58,8 @@ EPS = float(np.finfo(np.float64).eps)
 VECTOR = "doc_id long, n long, terms array<int>, counts array<int>"
 _VECTOR = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("terms", pa.list_(pa.int32())),
                      ("counts", pa.list_(pa.int32()))])
-SCORED = "rare int, doc_id long, terms array<int>, scores array<long>"
-_SCORED = pa.schema([("rare", pa.int32()), ("doc_id", pa.int64()), ("terms", pa.list_(pa.int32())),
+SCORED = "side int, doc_id long, terms array<int>, scores array<long>"
+_SCORED = pa.schema([("side", pa.int32()), ("doc_id", pa.int64()), ("terms", pa.list_(pa.int32())),
                      ("scores", pa.list_(pa.int64()))])
 _FIELDS = {"ids": np.int64, "known": np.uint8, "node_docs": np.int32, "c_bounds": np.int64, "c_terms": np.int32,
            "c_values": np.float64, "radii": np.float64, "whole": np.float64, "leaf_bounds": np.int64,
@@ -127,13 +127,16 @@ def weighed(queries: list[list[int]], frequency: np.ndarray, n_docs: int, n_term
     for k in range(len(asked) - 1, -1, -1):
         holders[asked[k]] += 1
         first[asked[k]] = k
-    octave = np.array([min(BY_COUNT - 1, int(math.log2(n_docs / f))) if 0 < f < n_docs else 0 for f in df], np.int64)
+    octave = np.array([min(BY_COUNT - 1, int(8 * math.log2(n_docs / f))) if 0 < f < n_docs else 0 for f in df], np.int64)
     group = np.where(holders > FEW, BY_QUERY + octave, first * BY_QUERY // max(1, len(asked)))
     return Terms(number, weight, group, n_docs, n_terms, asked)
 
 
 def scored_vectors(vectors: DataFrame, terms: Terms) -> DataFrame:
-    """(rare, doc_id, terms, scores): the score that each asked term adds; documents without any go."""
+    """(side, doc_id, terms, scores): the score that each asked term adds; documents without any go.
+
+    side: on which sides of the planes of ``_sketches`` the vector lies.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for record in batches:
@@ -148,8 +151,9 @@ def scored_vectors(vectors: DataFrame, terms: Terms) -> DataFrame:
             owner, ids, score = owner[order], ids[order], score[order]
             held, first = np.unique(owner, return_index=True)
             offsets = np.append(first, len(owner))
+            sides = _sketches(ids, score, offsets) > 0
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids[first], pa.int32()), record.column(0).take(pa.array(held)),
+                pa.array(sides @ (1 << np.arange(DIRECTIONS)), pa.int32()), record.column(0).take(pa.array(held)),
                 _lists(offsets, ids, pa.int32()), _lists(offsets, score, pa.int64())], schema=_SCORED)
 
     return vectors.mapInArrow(run, SCORED)
@@ -157,12 +161,12 @@ def scored_vectors(vectors: DataFrame, terms: Terms) -> DataFrame:
 
 def _sketches(ids: np.ndarray, scores: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A short vector for each document whose distances follow those of the whole ones."""
-    used, place = np.unique(ids, return_inverse=True)
-    signs = np.stack([np.random.default_rng(int(t)).choice(np.array([-1.0, 1.0]), DIRECTIONS) for t in used])
+    bits = mix(ids.astype(np.uint64) + np.uint64(1))
     out = np.zeros((len(offsets) - 1, DIRECTIONS))
     owner = np.repeat(np.arange(len(out)), np.diff(offsets))
     for k in range(DIRECTIONS):
-        out[:, k] = np.bincount(owner, signs[place, k] * scores, minlength=len(out))
+        sign = (bits >> np.uint64(3 * k)).astype(np.int64) & 1
+        out[:, k] = np.bincount(owner, (2 * sign - 1) * scores, minlength=len(out))
     return out
 
 
@@ -228,7 +232,7 @@ def tree(doc_ids: list, ids: np.ndarray, scores: np.ndarray, offsets: np.ndarray
 
 
 def index(scored: DataFrame, terms: Terms, parts: int) -> DataFrame:
-    """One row per block: its ball tree.  A term that many documents share is split by their ids."""
+    """One row per block: its ball tree.  A side that many documents lie on is split by their ids."""
     group = terms.group
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +262,7 @@ def index(scored: DataFrame, terms: Terms, parts: int) -> DataFrame:
         if doc_ids:
             yield built()
 
-    return (scored.repartitionByRange(parts, "rare", "doc_id").sortWithinPartitions("rare", "doc_id")
+    return (scored.repartitionByRange(parts, "side", "doc_id").sortWithinPartitions("side", "doc_id")
             .mapInArrow(run, TREE))
 
 
