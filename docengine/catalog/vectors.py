@@ -11,6 +11,7 @@ from docengine.catalog.documents import document_chunks
 from docengine.catalog.model import UNTIL, _until
 from docengine.operators import embedding, retrieval
 from docengine.operators import similarity as sim
+from docengine.operators import vector_index as vi
 from docengine.runtime import materialize, scratch_path
 from docengine.sources.files import stream_table
 from docengine.streaming.index_sync import current_index, sync_index_stream
@@ -124,6 +125,50 @@ def similarity_approx(spark, d):
     return sim.similarity_approx(index, label_queries(spark, d), 5, PLANES, "vec_id", "embedding")
 
 
+def _stored(spark, d, recall=None):
+    """The index of all vectors, written, and opened by its path alone."""
+    path = scratch_path(spark, "vector-index")
+    vi.build_index(spark, vectors(spark, d), path, "vec_id", "embedding", recall=recall)
+    return vi.open_index(spark, path)
+
+
+@query(f"""
+    WITH {CENTROIDS},
+    {_ranked(f"SELECT query_id, vec_id, {SCORE} AS score, label FROM embeddings CROSS JOIN queries", 5)}
+    SELECT query_id, vec_id, score, rank, label FROM hits
+""")
+def stored_search(spark, d):
+    """An index built, reopened and searched by its codes: bounds make the result exact."""
+    hits = vi.search(_stored(spark, d), label_queries(spark, d), 5)
+    return vi.show(hits, vectors(spark, d), "vec_id", ["label"])
+
+
+@query()
+def stored_search_recall(spark, d):
+    """The same index probed for a recall of 0.97: measured recall, and share of the vectors' bytes read."""
+    index = _stored(spark, d, recall=0.97)
+    queries = materialize(label_queries(spark, d), "queries")
+    cost = vi.Cost(int(index.counts.sum()), index.dim)
+    hits = vi.search(index, queries, 5, probes=index.probes, cost=cost).withColumnRenamed("id", "vec_id")
+    exact = sim.similarity_topk(vectors(spark, d), queries, 5, "vec_id", "embedding")
+    return sim.recall(hits, exact, "query_id", "vec_id").select(
+        "recall", F.lit(cost.share).alias("share_read"), F.lit(len(index.counts)).alias("lists"),
+        F.lit(index.probes).alias("probes"))
+
+
+@query(f"""
+    WITH queries AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE vec_id % 100 = 0),
+    {_ranked("SELECT query_id, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), "
+             "CAST(q AS DOUBLE[])), 6) AS score FROM embeddings CROSS JOIN queries", 5)}
+    SELECT query_id, vec_id, score, rank FROM hits
+""")
+def similarity_join(spark, d):
+    """The stated query set, rows whose id is divisible by 100, met with the stored index by list."""
+    asked = vectors(spark, d).filter(F.col("vec_id") % 100 == 0).select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return vi.search_join(_stored(spark, d), asked, 5).withColumnRenamed("id", "vec_id")
+
+
 def passage_index(spark, d):
     """Vectors of documents; the label stands for the entity."""
     return vectors(spark, d).withColumnRenamed("label", "set_id")
