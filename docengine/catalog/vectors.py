@@ -6,10 +6,11 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from docengine.catalog import query
-from docengine.catalog.common import table
-from docengine.catalog.documents import document_chunks
+from docengine.catalog.common import chunk_sql, table
+from docengine.catalog.documents import DOCS, document_chunks
 from docengine.catalog.model import UNTIL, _until
-from docengine.operators import embedding, retrieval
+from docengine.functions.text import trim_passage
+from docengine.operators import embedding, lexical, retrieval
 from docengine.operators import similarity as sim
 from docengine.operators import vector_index as vi
 from docengine.runtime import materialize, scratch_path
@@ -230,8 +231,56 @@ def citations(spark, d):
     return retrieval.citations(hits)
 
 
-@query()
+def _bm25(source: str, k: int) -> str:
+    """Hits of the benchmark's texts over ``source`` (id, text)."""
+    split = "string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')"
+    part = "tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / (SELECT avg(len) FROM lens)))"
+    return f"""
+    words AS (SELECT * FROM (SELECT id, unnest({split}) AS term FROM ({source})) WHERE term <> ''),
+    asked AS (SELECT DISTINCT * FROM (SELECT item_id AS query_id, unnest({split}) AS term FROM benchmark)),
+    lens AS (SELECT id, count(*) AS len FROM words GROUP BY id),
+    counts AS (SELECT id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY id, term),
+    weights AS (SELECT term, ln(1 + ((SELECT count(*) FROM lens) - count(*) + 0.5) / (count(*) + 0.5)) AS weight
+                FROM counts GROUP BY term),
+    scores AS (SELECT query_id, id, round(sum(weight * {part}), 6) AS score
+               FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lens USING (id)
+               GROUP BY query_id, id),
+    hits AS (SELECT * FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM scores)
+        WHERE rank <= {k})"""
+
+
+def _answered(spark, d, passages, id_col, text_col, k):
+    """Benchmark texts as questions over the stored postings of ``passages``."""
+    asked = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    path = scratch_path(spark, "lexical")
+    lexical.build_lexical(spark, passages, path, id_col, text_col, lexical.asked_words(asked, "query_id", "text"))
+    return lexical.search(lexical.open_lexical(spark, path), asked, k).withColumnRenamed("id", id_col)
+
+
+@query(f"WITH {_bm25(DOCS, 10)} SELECT query_id, id AS doc_id, score, rank FROM hits")
+def lexical_search(spark, d):
+    return _answered(spark, d, table(spark, d, "documents"), "doc_id", "text", 10)
+
+
+@query(f"""
+    WITH {chunk_sql(DOCS)},
+    passages AS (SELECT CAST(id AS VARCHAR) || '_' || CAST(idx AS VARCHAR) AS id, id AS doc_id, title, chunk FROM chunks),
+    {_bm25("SELECT id, chunk AS text FROM passages", 5)}
+    SELECT query_id, id AS chunk_id, score, rank, doc_id, source, title AS section_title,
+           {CUT.replace("chunk_text", "chunk")} AS chunk_text
+    FROM hits JOIN passages USING (id) JOIN documents USING (doc_id)
+""")
 def text_search(spark, d):
+    """Benchmark texts as questions, answered by passages of all documents with what a citation names."""
+    chunks = document_chunks(spark, d, ("source", "lang"))
+    hits = _answered(spark, d, chunks, "chunk_id", "chunk_text", 5)
+    shown = sim.with_columns(hits, chunks, "chunk_id", ["doc_id", "source", "section_title", "chunk_text"])
+    return shown.withColumn("chunk_text", trim_passage("chunk_text", 1200))
+
+
+@query()
+def text_search_dense(spark, d):
     """Benchmark texts as questions against embedded chunks of all documents."""
     chunks = document_chunks(spark, d, ("source", "lang"))
     encoder = embedding.fit_encoder(chunks, "chunk_text", dim=512)
