@@ -402,6 +402,12 @@ def cost_by_job_bucketed(spark, d):
     return mon.cost_by_job(usage_of(spark, d), prices_of(spark, d), "docs-", 14, AS_OF, bucket_seconds=86400)
 
 
+@query(BY_JOB)
+def cost_by_job_asof(spark, d):
+    """The same by carrying the last price that began: no list of periods is sent out or repeated by bucket."""
+    return mon.cost_by_job(usage_of(spark, d), prices_of(spark, d), "docs-", 14, AS_OF, asof=True)
+
+
 @query(f"""
     WITH {PRICED}
     SELECT regexp_extract(job_name, '{STAGE}', 1) AS stage, CAST(round(sum(CAST(value AS DECIMAL(21, 8)) * CAST(list_price AS DECIMAL(16, 12))), 2) AS DOUBLE)

@@ -181,3 +181,63 @@ def no_overlap_violations(
         .filter(F.greatest("_reached", "_here") > F.col("_start"))
         .select(*periods.columns)
     )
+
+
+def asof_join(
+    facts: DataFrame,
+    periods: DataFrame,
+    on: Sequence[str],
+    ts: str,
+    start: str,
+    end: str,
+    bucket_seconds: int = 86400,
+    shards: int = 8,
+) -> DataFrame:
+    """Rows with the period of their key that began last, if it is still in force at ``ts``.
+
+    The same rows as ``interval_join`` where periods of a key do not overlap
+    (``no_overlap_violations`` lists those that do; of overlapping ones the
+    last to begin counts, of two that begin together the last to end).  It
+    compares no row with more than one period and sends nothing to all tasks:
+
+    - Inside a bucket of time, periods and rows of a key are put in order and
+      the last period is carried on.  The rows of a hot key are dealt over its
+      buckets, and those of a bucket over ``shards``; a period stands in the
+      bucket that it begins in, once for each shard, however long it lasts.
+    - Over buckets, one row per key and bucket carries the last period on to
+      the buckets after it; a row takes that if its own bucket has none before it.
+
+    Rows or periods with a NULL key or time meet nothing.
+    """
+    def bucket(c: Column) -> Column:
+        return F.floor(F.unix_seconds(c.cast("timestamp")) / bucket_seconds)
+
+    usable = lambda *cols: reduce(and_, [F.col(c).isNotNull() for c in cols])
+    kept = [c for c in periods.columns if c not in on]
+    # Compared field by field: the last to begin, then the last to end.
+    when = F.struct(F.col(start).alias("at"), F.coalesce(F.col(end).cast("timestamp"),
+                                                         F.lit("9999-12-31").cast("timestamp")).alias("to"))
+    begun = periods.filter(usable(*on, start)).select(
+        *on, bucket(F.col(start)).alias("_bucket"), F.col(start).cast("timestamp").alias("_at"), when.alias("_when"),
+        F.struct(*kept).alias("_period"))
+    rows = facts.filter(usable(*on, ts)).select(
+        *on, bucket(F.col(ts)).alias("_bucket"), F.col(ts).cast("timestamp").alias("_at"),
+        F.pmod(F.xxhash64(*facts.columns), F.lit(shards)).cast("int").alias("_shard"), F.struct(*facts.columns).alias("_fact"))
+    dealt = begun.withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    both = rows.unionByName(dealt, allowMissingColumns=True)
+    in_order = (Window.partitionBy(*on, "_bucket", "_shard").orderBy("_at", F.col("_fact").isNotNull(), "_when")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = both.withColumn("_own", F.last("_period", ignorenulls=True).over(in_order)).filter(
+        F.col("_fact").isNotNull()).select(*on, "_bucket", "_fact", "_own")
+
+    marks = rows.select(*on, "_bucket").unionByName(begun.select(*on, "_bucket", "_when", "_period"), True).groupBy(
+        *on, "_bucket").agg(F.max_by("_period", "_when").alias("_last"))
+    over = Window.partitionBy(*on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = marks.select(*[F.col(k).alias(f"b_{k}") for k in on], F.col("_bucket").alias("b_bucket"),
+                          F.last("_last", ignorenulls=True).over(over).alias("_before")).filter("_before IS NOT NULL")
+    match = _on(on, "b_") & (F.col("_bucket") == F.col("b_bucket"))
+    period = F.coalesce("_own", "_before")
+    met = carried.join(before, match, "left").select("_fact", period.alias("_period"))
+    until = F.col(f"_period.{end}")
+    in_force = F.col("_period").isNotNull() & (until.isNull() | (F.col(f"_fact.{ts}") < until))
+    return met.filter(in_force).select("_fact.*", *[F.col(f"_period.{c}").alias(c) for c in kept])

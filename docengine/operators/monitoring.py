@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docengine.functions.dates import hours_between, moment, since, since_date, tag_startswith, tag_value
 from docengine.functions.scoring import bucket_floor, score_bucket
 from docengine.operators.ingest import last_loaded
-from docengine.operators.joins import interval_join, union_all, with_lookup
+from docengine.operators.joins import asof_join, interval_join, union_all, with_lookup
 
 
 def pass_rate(runs: DataFrame, days: int = 30) -> DataFrame:
@@ -117,14 +117,21 @@ def priced_usage(
     prices: DataFrame,
     currency: str = "USD",
     bucket_seconds: int | None = None,
+    asof: bool = False,
 ) -> DataFrame:
-    """Usage rows with the list price in force when the usage began."""
+    """Usage rows with the list price in force when the usage began.
+
+    asof: by the last price that began, for lists of many or long periods.
+    """
     rates = prices.filter(F.col("currency_code") == currency).select(
         "sku_name", "list_price", "price_start_time", "price_end_time"
     )
-    return interval_join(
-        usage, rates, ["sku_name"], "usage_start_time", "price_start_time", "price_end_time", bucket_seconds
-    ).drop("price_start_time", "price_end_time")
+    times = ["sku_name"], "usage_start_time", "price_start_time", "price_end_time"
+    if asof:
+        priced = asof_join(usage, rates, *times, **({"bucket_seconds": bucket_seconds} if bucket_seconds else {}))
+    else:
+        priced = interval_join(usage, rates, *times, bucket_seconds)
+    return priced.drop("price_start_time", "price_end_time")
 
 
 def _job_usage(usage: DataFrame, prefix: str, days: int | None, as_of, tag: str) -> DataFrame:
@@ -138,9 +145,10 @@ def _job_usage(usage: DataFrame, prefix: str, days: int | None, as_of, tag: str)
 
 
 def cost_by_job(usage: DataFrame, prices: DataFrame, prefix: str, days: int | None = 14, as_of=None,
-                tag: str = "job_name", bucket_seconds: int | None = None) -> DataFrame:
+                tag: str = "job_name", bucket_seconds: int | None = None, asof: bool = False) -> DataFrame:
     """Usage and cost by day and job."""
-    priced = priced_usage(_job_usage(usage, prefix, days, as_of, tag), prices, bucket_seconds=bucket_seconds)
+    rows = _job_usage(usage, prefix, days, as_of, tag)
+    priced = priced_usage(rows, prices, bucket_seconds=bucket_seconds, asof=asof)
     return (
         priced.groupBy(F.to_date("usage_start_time").alias("usage_date"), "job_name")
         .agg(
