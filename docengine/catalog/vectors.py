@@ -10,7 +10,7 @@ from docengine.catalog.common import chunk_sql, table
 from docengine.catalog.documents import DOCS, document_chunks
 from docengine.catalog.model import UNTIL, _until
 from docengine.functions.text import trim_passage
-from docengine.operators import embedding, lexical, retrieval
+from docengine.operators import embedding, latent, lexical, retrieval
 from docengine.operators import similarity as sim
 from docengine.operators import vector_index as vi
 from docengine.runtime import materialize, scratch_path
@@ -290,6 +290,26 @@ def text_search_dense(spark, d):
     return retrieval.search_passages(index, queries, cols=["doc_id", "source", "section_title", "chunk_text"])
 
 
+@query()
+def latent_recall(spark, d):
+    """Documents by a stored latent encoder; of every hundredth, without its last quarter, whether its text is found."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "latent")
+    latent.write_latent(spark, latent.fit_latent(docs, "text"), path)
+    encoder = latent.open_latent(spark, path)
+    own = docs.withColumn("text_hash", F.xxhash64("text"))
+    index = materialize(own.filter(F.col("text").isNotNull()).select("doc_id", "text_hash", encoder("text").alias("embedding")), "index")
+    cut = F.col("text").substr(F.lit(1), (F.length("text") * 0.75).cast("int"))
+    asked = own.filter((F.col("doc_id") % 100 == 0) & (F.length("text") > 0)).select(
+        F.col("doc_id").alias("query_id"), F.col("text_hash").alias("asked_hash"), encoder(cut).alias("query_vec"))
+    asked = materialize(asked, "asked")
+    hits = sim.similarity_topk(index, asked, 5, "doc_id", "embedding", cols=["text_hash"])
+    found = hits.join(asked.select("query_id", "asked_hash"), "query_id").groupBy("query_id").agg(
+        F.max((F.col("text_hash") == F.col("asked_hash")).cast("int")).alias("found"))
+    return found.agg(F.count("*").alias("n_queries"), F.avg("found").alias("recall")).withColumn(
+        "rank", F.lit(len(encoder.singular)))
+
+
 def _encode(rows):
     """A stand-in encoder: two numbers of the row as its vector."""
     return rows.withColumn(

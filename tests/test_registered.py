@@ -42,4 +42,4 @@ def test_entry_offers_all_queries():
 
 
 def test_queries_without_sql():
-    assert set(QUERIES) - set(ORACLES) == {"text_search_dense", "stored_search_recall"}
+    assert set(QUERIES) - set(ORACLES) == {"text_search_dense", "stored_search_recall", "latent_recall"}
