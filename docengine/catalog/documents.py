@@ -11,7 +11,7 @@ from docengine.functions.text import render_prompts
 from docengine.operators import chunker, extraction as ex
 from docengine.operators.model import best_row
 from docengine.operators.monitoring import score_histogram as histogram
-from docengine.operators.sections import explode_sections, parse_sections, sections_to_text
+from docengine.operators.sections import LABEL_NS, explode_sections, parse_sections, sections_to_text
 
 STRIP_TAGS = (
     "regexp_replace(regexp_replace({0}, '(?s)<!--.*?-->|<script\\b.*?</script>|<style\\b.*?</style>',"
@@ -75,6 +75,66 @@ def section_chunks(spark, d):
     return chunker.chunk(page_texts(spark, d), "page_id", "full_text", max_chars=1000, overlap=100)
 
 
+# Labels made of pages: a section for each paragraph, every fourth without a
+# title, three of them nested in each other; each fifth page ends too early.
+PARAGRAPH = "<p>(?:<b>)?([^<]+)"
+XML_SECTIONS = f"""
+    paragraphs AS (
+        SELECT page_id, unnest(regexp_extract_all(html, '{PARAGRAPH}', 1)) AS body,
+               generate_subscripts(regexp_extract_all(html, '{PARAGRAPH}', 1), 1) - 1 AS k
+        FROM pages WHERE page_id % 5 <> 0
+    ),
+    said AS (
+        SELECT page_id, k, CASE WHEN k % 4 = 3 THEN '' ELSE 'Part ' || k END AS title, {sql_strip("body")} AS body
+        FROM paragraphs
+    ),
+    sections AS (
+        SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS ord, title, body
+        FROM said WHERE title <> '' OR body <> ''
+    ),
+    texts AS (
+        SELECT page_id AS id,
+               string_agg({sql_strip("'## ' || title || chr(10) || chr(10) || body")},
+                          chr(10) || chr(10) ORDER BY ord) AS text
+        FROM sections GROUP BY page_id
+    )"""
+
+
+def labels_xml(spark, d):
+    """(page_id, xml): labels with nested sections, some of them broken."""
+    pages = table(spark, d, "pages").select("page_id", F.regexp_extract_all("html", F.lit(PARAGRAPH), F.lit(1)).alias("p"))
+
+    def section(text, k):
+        title = F.when(k % 4 == 3, "").otherwise(F.concat(F.lit("Part "), k.cast("string")))
+        said = F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit(">"), F.lit("&gt;"))
+        closed = F.when((k % 3 == 2) | (k == F.size("p") - 1), k % 3 + 1).otherwise(0)
+        return F.concat(F.lit("<component><section><title>"), title, F.lit("</title><text><paragraph>"), said,
+                        F.lit("</paragraph></text>"), F.repeat(F.lit("</section></component>"), closed))
+
+    end = F.when(F.col("page_id") % 5 == 0, "").otherwise("</document>")
+    return pages.select("page_id", F.concat(
+        F.lit(f'<document xmlns="{LABEL_NS}">'), F.array_join(F.transform("p", section), ""), end).alias("xml"))
+
+
+@query(f"WITH {XML_SECTIONS} SELECT page_id, ord, title, body FROM sections")
+def xml_sections(spark, d):
+    """Nested sections in document order; a document that cannot be read gives none."""
+    return explode_sections(parse_sections(labels_xml(spark, d), "xml"), keep=("page_id",))
+
+
+@query(f"""
+    WITH {XML_SECTIONS}, {chunk_sql("SELECT id, text FROM texts", 400, 50, 60)}
+    SELECT CAST(id AS VARCHAR) || '_' || CAST(idx AS VARCHAR) AS chunk_id, id AS page_id,
+           title AS section_title, idx AS chunk_index, chunk AS chunk_text
+    FROM chunks
+""")
+def xml_section_chunks(spark, d):
+    """Chunks of texts of many sections, cut at their headings first."""
+    parsed = parse_sections(labels_xml(spark, d), "xml")
+    texts = parsed.select("page_id", sections_to_text("sections").alias("full_text"))
+    return chunker.chunk(texts, "page_id", "full_text", max_chars=400, overlap=50, min_chars=60)
+
+
 DOCS = "SELECT doc_id AS id, text FROM documents"
 
 
