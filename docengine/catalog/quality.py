@@ -18,6 +18,7 @@ from docengine.operators.model import current_flag
 from docengine.plans.trust import declared_checks
 from docengine.runtime import scratch_path
 from docengine.sources.contracts import Contract, load_contract
+from docengine.streaming.checks import checked_append
 
 RESULT = ["check_id", "target_table", "severity", "violation_count", "row_count_total"]
 
@@ -157,10 +158,13 @@ CHECKS: dict[str, tuple[ex.Check, str, str]] = {
         "SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)", "documents"),
     "no_overlap": (
         ex.expect_no_overlap("prices_no_overlap", "prices", ["sku_name"], "price_start_time", "price_end_time"),
-        "SELECT 0", f"({PRICES})"),
+        f"SELECT count(*) FROM (SELECT price_start_time, max(price_end_time) OVER (PARTITION BY sku_name "
+        f"ORDER BY price_start_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM ({PRICES})) "
+        f"WHERE reached > price_start_time", f"({PRICES})"),
     "chunk_unique": (
         ex.expect_unique("chunks_chunk_id_unique", "chunks", "chunk_id"),
-        "SELECT 0", f"(WITH {chunk_sql(DOCS)} SELECT * FROM chunks)"),
+        _groups("id, idx", f"(WITH {chunk_sql(DOCS)} SELECT * FROM chunks)"),
+        f"(WITH {chunk_sql(DOCS)} SELECT * FROM chunks)"),
 }
 
 
@@ -210,6 +214,43 @@ def check_runs(spark, d):
     return run.withColumns({c: text_time(c) for c in ("run_started_at", "run_finished_at")})
 
 
+@query(f"""
+    SELECT check_id, target_table, violation_count FROM ({ALL_RESULTS})
+    WHERE violation_count > 0 AND severity = 'error'
+""")
+def gate_failures(spark, d):
+    """What the severity gate stops a run for."""
+    return ex.stopping(ex.violations_of(all_results(spark, d), "run-1", F.lit(AS_OF)))
+
+
+STREAM_CHECKS = [
+    ex.expect_not_null("quality_not_null", "labelled", "quality", severity=ex.WARN),
+    ex.expect_length("text_length_bounds", "labelled", "text", severity=ex.WARN),
+    ex.expect_accepted("lang_accepted", "labelled", "lang", ["en", "fr"], severity=ex.WARN),
+]
+BATCH_OF = "CAST(coalesce(lang <> 'en', true) AS BIGINT)"
+
+
+@query(" UNION ALL ".join(
+    f"SELECT {BATCH_OF} AS batch_id, '{check}' AS check_id, 'warn' AS severity, "
+    f"CAST(count(*) FILTER ({bad}) AS BIGINT) AS violation_count, count(*) AS row_count_total "
+    f"FROM {LABELLED} GROUP BY ALL"
+    for check, bad in (("quality_not_null", "quality IS NULL"),
+                       ("text_length_bounds", "length(text) < 100 OR length(text) > 2500"),
+                       ("lang_accepted", "lang NOT IN ('en', 'fr')"))))
+def stream_checks(spark, d):
+    """Documents that arrive in two deliveries, checked while each is appended."""
+    docs = labelled(spark, d).select("doc_id", "text", "lang", "quality")
+    out = scratch_path(spark, "stream-checks")
+    english = F.col("lang").eqNullSafe("en")
+    found = None
+    for delivery in (docs.filter(english), docs.filter(~english)):
+        delivery.write.mode("append").parquet(f"{out}/in")
+        arrived = spark.readStream.schema(docs.schema).parquet(f"{out}/in")
+        found = checked_append(arrived, f"{out}/table", f"{out}/checkpoint", STREAM_CHECKS, f"{out}/log", "run-1")
+    return found.select("batch_id", "check_id", "severity", "violation_count", "row_count_total")
+
+
 CONTRACT = Path(__file__).resolve().parent / "contracts" / "documents.yaml"
 
 

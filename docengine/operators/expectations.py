@@ -6,6 +6,7 @@ import datetime as dt
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +18,37 @@ ERROR, WARN = "error", "warn"
 Tables = Mapping[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class GroupRule:
+    """What the rows of one table that share ``keys`` violate, from counts alone.
+
+    ``violations`` takes the rows of a group, those with a true ``flag`` and
+    those with a ``date``, and gives what the group adds to the count.
+    """
+
+    keys: tuple[str, ...]
+    violations: Callable[[Column, Column, Column], Column]
+    flag: str | None = None
+    date: str | None = None
+
+
 @dataclass(frozen=True)
 class Check:
     """One assertion about one table.
 
     Row-level checks have ``bad``, TRUE on a violating row, and may ``adjust``
-    the violating and total counts to the count that is reported.  Set-level
-    checks have ``measure``, one row of violation_count and row_count_total.
-    All are functions, so checks can be declared before there is a session.
+    the violating and total counts to the count that is reported.  Checks of
+    groups have ``group``; both kinds share one scan of their table.  Other
+    set-level checks have ``measure``, one row of violation_count and
+    row_count_total.  All are functions, so checks can be declared before
+    there is a session.
     """
 
     check_id: str
     target_table: str
     bad: Callable[[], Column] | None = None
     adjust: Callable[[Column, Column], Column] | None = None
+    group: GroupRule | None = None
     measure: Callable[[Tables], DataFrame] | None = None
     layer: str | None = None
     severity: str = ERROR
@@ -104,10 +122,28 @@ def _result(violations: Column, total: Column) -> list[Column]:
     ]
 
 
+def unique_rule(keys: Sequence[str]) -> GroupRule:
+    """Rows in groups of more than one; NULL keys are a group."""
+    return GroupRule(tuple(keys), lambda n, _flags, _dates: F.when(n > 1, n))
+
+
+def fanout_rule(key: str, limit: int) -> GroupRule:
+    """Keys with more than ``limit`` rows."""
+    return GroupRule((key,), lambda n, _flags, _dates: F.when(n > limit, 1))
+
+
+def exactly_one_rule(key: str, flag: str, date: str) -> GroupRule:
+    """Ids without exactly one flagged row; none is right when all dates are NULL."""
+    return GroupRule((key,), lambda _n, flags, dates: F.when(flags != F.when(dates > 0, 1).otherwise(0), 1), flag, date)
+
+
+def grouped_counts(df: DataFrame, rule: GroupRule) -> DataFrame:
+    """One rule by itself: violation_count and row_count_total."""
+    return _fused(df, [Check("", "", group=rule)]).select("violation_count", "row_count_total")
+
+
 def repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows in groups of more than one; NULL keys are a group.  One pass, counts combined map-side."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return groups.agg(*_result(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.sum("_n")))
+    return grouped_counts(df, unique_rule(keys))
 
 
 def orphaned(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> DataFrame:
@@ -120,18 +156,11 @@ def orphaned(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> DataFrame
 
 
 def too_many_per_key(df: DataFrame, key: str, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows."""
-    groups = df.groupBy(key).agg(F.count("*").alias("_n"))
-    return groups.agg(*_result(F.count_if(F.col("_n") > limit), F.sum("_n")))
+    return grouped_counts(df, fanout_rule(key, limit))
 
 
 def not_exactly_one(df: DataFrame, key: str, flag: str, date: str) -> DataFrame:
-    """Ids without exactly one flagged row; none is right when all dates are NULL."""
-    groups = df.groupBy(key).agg(
-        F.count_if(F.col(flag)).alias("_flags"), F.count(date).alias("_dates"), F.count("*").alias("_n")
-    )
-    wanted = F.when(F.col("_dates") > 0, 1).otherwise(0)
-    return groups.agg(*_result(F.count_if(F.col("_flags") != wanted), F.sum("_n")))
+    return grouped_counts(df, exactly_one_rule(key, flag, date))
 
 
 def not_covered(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
@@ -194,7 +223,7 @@ def expect_row_count(check_id, table, least, **kw) -> Check:
 
 def expect_unique(check_id, table, keys, **kw) -> Check:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return Check(check_id, table, measure=lambda t: repeated(t[table], keys), **kw)
+    return Check(check_id, table, group=unique_rule(keys), **kw)
 
 
 def expect_fk(check_id, table, col, ref_table, ref_col=None, **kw) -> Check:
@@ -204,11 +233,11 @@ def expect_fk(check_id, table, col, ref_table, ref_col=None, **kw) -> Check:
 
 
 def expect_max_fanout(check_id, table, key, limit=200, **kw) -> Check:
-    return Check(check_id, table, measure=lambda t: too_many_per_key(t[table], key, limit), **kw)
+    return Check(check_id, table, group=fanout_rule(key, limit), **kw)
 
 
 def expect_exactly_one(check_id, table, key, flag, date, **kw) -> Check:
-    return Check(check_id, table, measure=lambda t: not_exactly_one(t[table], key, flag, date), **kw)
+    return Check(check_id, table, group=exactly_one_rule(key, flag, date), **kw)
 
 
 def expect_coverage(check_id, parent, child, key, **kw) -> Check:
@@ -222,19 +251,56 @@ def expect_no_overlap(check_id, table, on, start, end, **kw) -> Check:
 # --- evaluation -----------------------------------------------------------
 
 
+BITS = 60  # row-level checks noted in one mask of a row
+
+
 def _fused(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row-level checks of one table in one aggregate, one row per check."""
-    counts = df.agg(
-        F.count("*").alias("_total"),
-        *[F.count_if(c.bad()).alias(f"_c{i}") for i, c in enumerate(checks)],
-    )
-    total = F.col("_total")
-    rows = []
+    """Row-level checks and checks of groups of one table, one row per check, from one scan.
+
+    The table is grouped by the keys of every rule, and by masks that say
+    which row-level checks a row violates, as grouping sets of one aggregate:
+    what is shuffled is a count per key or mask and task.
+    """
+    row_level = [c for c in checks if c.bad is not None]
+    masks = []
+    for first in range(0, len(row_level), BITS):
+        bits = [F.when(c.bad(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                for i, c in enumerate(row_level[first:first + BITS])]
+        masks.append((f"_mask{first // BITS}", reduce(lambda a, b: a.bitwiseOR(b), bits)))
+    sets = {tuple(name for name, _ in masks): None} if masks else {}
+    by_keys = [tuple(sorted(set(c.group.keys))) if c.group else None for c in checks]
+    sets = list(sets | dict.fromkeys(k for k in by_keys if k))
+    columns = list(dict.fromkeys(c for names in sets for c in names))
+    flags = list(dict.fromkeys(c.group.flag for c in checks if c.group and c.group.flag))
+    dates = list(dict.fromkeys(c.group.date for c in checks if c.group and c.group.date))
+    counts = [F.count("*").alias("_n"), *[F.count_if(F.col(f)).alias(f"_flag{i}") for i, f in enumerate(flags)],
+              *[F.count(d).alias(f"_date{i}") for i, d in enumerate(dates)]]
+    marked = df.withColumns(dict(masks)) if masks else df
+    if len(sets) == 1:
+        groups = marked.groupBy(*columns).agg(*counts)
+        inside = [F.lit(True)]
+    else:
+        groups = marked.groupingSets([list(names) for names in sets], *columns).agg(F.grouping_id().alias("_set"), *counts)
+        # A bit for each column of the list that a set leaves out, the last one lowest.
+        numbers = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in names) for names in sets]
+        inside = [F.col("_set") == x for x in numbers]
+    n = F.col("_n")
+    sums = [F.coalesce(F.sum(F.when(inside[0], n)), F.lit(0)).alias("_total")]
+    for i, (c, keys) in enumerate(zip(checks, by_keys)):
+        if keys is None:
+            at = row_level.index(c)
+            hit = F.col(f"_mask{at // BITS}").bitwiseAND(F.lit(1 << at % BITS)) != 0
+            bad = F.when(inside[0] & hit, n)
+        else:
+            flag = F.col(f"_flag{flags.index(c.group.flag)}") if c.group.flag else F.lit(None)
+            date = F.col(f"_date{dates.index(c.group.date)}") if c.group.date else F.lit(None)
+            bad = F.when(inside[sets.index(keys)], c.group.violations(n, flag, date))
+        sums.append(F.coalesce(F.sum(bad), F.lit(0)).alias(f"_c{i}"))
+    total, rows = F.col("_total"), []
     for i, c in enumerate(checks):
         bad = F.col(f"_c{i}")
-        count = c.adjust(bad, total) if c.adjust else bad
-        rows.append(F.struct(*_labels(c), *_result(count, total)))
-    return counts.select(F.inline(F.array(*rows)))
+        rows.append(F.struct(*_labels(c), *_result(c.adjust(bad, total) if c.adjust else bad, total)))
+    return groups.agg(*sums).select(F.inline(F.array(*rows)))
 
 
 def _labels(c: Check) -> list[Column]:
@@ -249,8 +315,8 @@ def _labels(c: Check) -> list[Column]:
 def check_results(tables: Tables, checks: Sequence[Check]) -> DataFrame:
     """One row per check: violations and rows, as one lazy DataFrame.
 
-    Row-level checks of a table share one scan; each set-level check has its
-    own aggregate.
+    Row-level checks and checks of groups of a table share one scan; those
+    that compare two tables, or periods, have a plan of their own.
     """
     by_table: dict[str, list[Check]] = {}
     frames = []
@@ -343,9 +409,15 @@ def log_results(violations: DataFrame, run: DataFrame, violations_path: str, run
     ensure_schema(run, TABLES["runs"]).coalesce(1).write.mode("append").parquet(runs_path)
 
 
+def stopping(violations: DataFrame) -> DataFrame:
+    """The checks of severity ``error`` in a violation log, each once, with their violations."""
+    return (violations.filter(F.col("severity") == ERROR).groupBy("check_id", "target_table")
+            .agg(F.sum("violation_count").alias("violation_count")))
+
+
 def gate(violations: DataFrame) -> None:
     """Raise when a check of severity ``error`` failed; warnings pass."""
-    failed = sorted({r.check_id for r in violations.filter(F.col("severity") == ERROR).select("check_id").collect()})
+    failed = sorted({r.check_id for r in stopping(violations).select("check_id").collect()})
     if failed:
         raise AssertionError(f"stopped by checks of severity {ERROR!r} ({len(failed)}): {', '.join(failed)}")
 

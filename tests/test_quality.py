@@ -178,3 +178,29 @@ def test_pass_rate_of_a_day_without_checks(spark):
                                  "run_started_at STRING, checks_total BIGINT, checks_passed BIGINT, checks_failed BIGINT")
     got = [r.pass_rate_pct for r in mon.pass_rate(runs).collect()]
     assert float(got[0]) == 66.7 and got[1] is None
+
+
+def test_checks_of_rows_and_groups_share_one_scan(spark, tmp_path):
+    """Grouping sets with NULL keys, shared keys, more than one mask, against each check by itself."""
+    rows_in = [(None, 1, "a", True, "d"), (None, 1, "b", False, None), (1, 1, None, True, None), (1, None, "a", True, "d"),
+               (2, None, "", False, "d"), (3, 2, "c", False, None), (3, 2, "c", None, None)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows_in, "k INT, x INT, s STRING, f BOOLEAN, d STRING").write.parquet(path)
+    df = spark.read.parquet(path)
+    checks = [ex.expect_not_null("k0", "t", "k"), ex.expect_unique("u1", "t", ["k", "x"]),
+              ex.expect_unique("u2", "t", ["x", "k"]), ex.expect_unique("u3", "t", "s"), ex.expect_max_fanout("m", "t", "k", 1),
+              ex.expect_exactly_one("one", "t", "k", "f", "d"), ex.expect_row_count("least", "t", 9),
+              ex.expect_completeness("share", "t", "s", 95.0)]
+    checks += [ex.expect_sql(f"sql{i}", "t", f"x <= {i % 3}") for i in range(70)]
+    together = ex.check_results({"t": df}, checks)
+    assert plan_of(together).count("ReadSchema") == 1
+    got = {r.check_id: (r.violation_count, r.row_count_total) for r in together.collect()}
+    alone = {c.check_id: tuple(ex.check_results({"t": df}, [c]).select("violation_count", "row_count_total").first())
+             for c in checks[:12]}
+    assert {c: got[c] for c in alone} == alone and len(got) == 78
+    assert {c: v for c, (v, _) in got.items() if not c.startswith("sql")} == {
+        "k0": 2, "u1": 4, "u2": 4, "u3": 4, "m": 3, "one": 2, "least": 2, "share": 1}
+    assert [got[f"sql{i}"][0] for i in (0, 1, 2, 66, 67, 68)] == [7, 4, 2, 7, 4, 2]
+    assert {t for _, t in got.values()} == {7}
+    none = {r.check_id: r.violation_count for r in ex.check_results({"t": df.limit(0)}, checks).collect()}
+    assert none["least"] == 9 and sum(none.values()) == 9
