@@ -11,11 +11,13 @@ from docengine.operators.ingest import daily_health, in_batch, of_type, row_coun
 from docengine.operators.ingest import ingest_summary as summary
 from docengine.operators.joins import pending, pending_capped, side_by_side, union_all
 from docengine.operators.sections import usable_text
+from docengine.operators.sketches import error_of, rolled_up, sketched
 from docengine.runtime import scratch_path
 from docengine.schemas import DOUBLE, TEXT, ensure_schema, layout
 from docengine.sources.files import stream_table
 from docengine.sources.tables import Snapshots, append_table, as_view, read_table
-from docengine.streaming.ingest import append_stream
+from docengine.streaming.ingest import append_stream, ingest_files
+from docengine.streaming.widening import append_widening, read_widened
 
 NUMBER_ID = r"/([0-9]+)(?:\.html|/)?(?:[?#][^/]*)?$"
 LAST_PART = r"/([^/?#]+)/?(?:[?#][^/]*)?$"
@@ -183,3 +185,62 @@ def appended_view(spark, d):
     append_table(docs.filter(~english), path, partition_by=["lang"])
     view = as_view(read_table(spark, path), "appended_documents")
     return view.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
+
+
+@query("""
+    SELECT event_type, count(*) AS n_rows, count(DISTINCT CAST(ts AS DATE)) AS n_days,
+           count(DISTINCT user_id) AS n_distinct, true AS within_3_pct
+    FROM events GROUP BY event_type
+""")
+def distinct_rollup(spark, d):
+    """Daily sketches of users, stored and united by event type, beside the exact counts."""
+    events = table(spark, d, "events")
+    path = scratch_path(spark, "sketches")
+    append_table(sketched(events, ["event_type", F.to_date("ts").alias("day")], "user_id"), path)
+    stored = read_table(spark, path)
+    united = rolled_up(stored, ["event_type"]).drop("sketch")
+    days = stored.groupBy("event_type").agg(F.count("*").alias("n_days"))
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("n_distinct"))
+    return error_of(united, exact, ["event_type"]).join(days, "event_type").select(
+        "event_type", "n_rows", "n_days", "n_distinct", (F.col("relative_error") < 0.03).alias("within_3_pct"))
+
+
+@query("""
+    SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey,
+           CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_totalprice END AS o_totalprice
+    FROM orders
+""")
+def stream_widened(spark, d):
+    """Finished orders streamed narrow, then the others with wider and more columns, read as one table."""
+    orders = table(spark, d, "orders")
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    out = scratch_path(spark, "widened")
+    for delivery in (
+        orders.filter(finished).select("o_orderkey", F.col("o_custkey").cast("int")),
+        orders.filter(~finished).select("o_orderkey", F.col("o_custkey").cast("bigint"), "o_orderpriority", "o_totalprice"),
+    ):
+        delivery.write.mode("append").parquet(f"{out}/in")
+        arrived = spark.readStream.schema(delivery.schema).parquet(f"{out}/in")
+        append_widening(arrived, f"{out}/table", f"{out}/checkpoint")
+    return read_widened(spark, f"{out}/table")
+
+
+@query("""
+    SELECT coalesce(source, '') AS source, CAST(sum(coalesce(strlen(text), 0) + 1) AS BIGINT) AS n_bytes,
+           true AS sizes_agree, true AS hashes_agree
+    FROM documents GROUP BY ALL
+""")
+def stream_binary_files(spark, d):
+    """Text files of all documents, at most 2,000 documents a file, ingested as a stream of binary files."""
+    out = scratch_path(spark, "binary-files")
+    docs = table(spark, d, "documents").select(F.coalesce("source", F.lit("")).alias("source"), F.col("text").alias("value"))
+    docs.write.option("maxRecordsPerFile", 2000).partitionBy("source").text(f"{out}/files")
+    ingest_files(spark, f"{out}/files", f"{out}/raw", f"{out}/checkpoint", "run-1", "*.txt")
+    ingest_files(spark, f"{out}/files", f"{out}/raw", f"{out}/checkpoint", "run-2", "*.txt")  # nothing is new
+    raw = read_table(spark, f"{out}/raw")
+    source = F.regexp_extract("file_path", "/source=([^/]*)/", 1)
+    return raw.groupBy(F.when(source == "__HIVE_DEFAULT_PARTITION__", "").otherwise(source).alias("source")).agg(
+        F.sum("file_size_bytes").alias("n_bytes"),
+        F.bool_and(F.octet_length("raw_bytes") == F.col("file_size_bytes")).alias("sizes_agree"),
+        F.bool_and(F.sha2("raw_bytes", 256) == F.col("content_hash")).alias("hashes_agree"))
