@@ -40,6 +40,14 @@ def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, or one made from it that no column of ``docs`` has in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Intermediate tables in the folder that all executors share.
 

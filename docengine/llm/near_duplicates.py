@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, ascending, batch, mix, prepare, small_side, text_column, texts
+from docengine.llm.common import (
+    Scratch, ascending, batch, free_name, mix, prepare, small_side, text_column, texts,
+)
 
 WORDS = 5
 SMALL = 16
@@ -345,12 +347,13 @@ def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFram
     Of rows that repeat that id one stays; documents with empty sets all stay.
     """
     spark = prepare(docs.sparkSession)
-    numbered = Scratch(spark, "one-of-each").write(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    ranked = numbered.select("__row", F.col("doc_id").cast("long").alias("id"), "text")
+    row = free_name(docs, "__row")
+    numbered = Scratch(spark, "one-of-each").write(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    ranked = numbered.select(F.col(row).alias("number"), F.col("doc_id").cast("long").alias("id"), "text")
     # Row numbers stand for ids, so that every row is a document of its own.
-    found = near_duplicates(ranked.select(F.col("__row").alias("doc_id"), "text"), similar)
-    ids = ranked.select("__row", "id")
-    chosen = (found.join(ids.withColumnRenamed("__row", "doc_id"), "doc_id").groupBy("component_id")
+    found = near_duplicates(ranked.select(F.col("number").alias("doc_id"), "text"), similar)
+    ids = ranked.select("number", "id")
+    chosen = (found.join(ids.withColumnRenamed("number", "doc_id"), "doc_id").groupBy("component_id")
               .agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).alias("first"))
-              .select(F.col("first.doc_id").alias("__row")))
-    return numbered.join(chosen, "__row", "left_semi").drop("__row")
+              .select(F.col("first.doc_id").alias(row)))
+    return numbered.join(chosen, row, "left_semi").drop(row)

@@ -6,6 +6,10 @@ The permutation depends on the key and the kind of value alone, so equal
 values get equal pseudonyms in every document, and ``restore`` with the key
 brings them back.  Nothing is shuffled: each text is its own work.
 
+A day has one pseudonym in all notations (year first, day first with dots,
+month first, day first where the day is over 12): days up to 12 and later ones
+are permuted among themselves, so the pseudonym tells which of the two a day is.
+
 An IBAN is read in one piece or in groups of four, a telephone number in North
 American notation or as an international one with its plus.  What looks like an
 IBAN but fails its check is searched for other values; should their pseudonyms
@@ -138,8 +142,7 @@ ANY = _combined()
 DIGIT = re.compile("[0-9]")
 DIGITS, LETTERS = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
-DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST_DAY + 1
+FIRST_YEAR, YEARS = 1900, 200
 
 
 def _fill(shape: str, digits: str) -> str:
@@ -229,6 +232,23 @@ class Pseudonyms:
         a += 1
         return f"{a + (a >= 666):03d}-{g + 1:02d}-{s + 1:04d}"
 
+    def _day(self, day: datetime.date) -> datetime.date:
+        """One permutation for all notations, so that they stay linked.
+
+        Days up to 12 and later ones are permuted among themselves: what is
+        day first because its day is over 12 is read back as day first.
+        """
+        first, size, kind = (1, 12, "early") if day.day <= 12 else (13, 19, "late")
+        x = ((day.year - FIRST_YEAR) * 12 + day.month - 1) * size + day.day - first
+        while True:
+            x = self._permuted(kind, x, YEARS * 12 * size)
+            months, d = divmod(x, size)
+            year, month = divmod(months, 12)
+            try:
+                return datetime.date(year + FIRST_YEAR, month + 1, d + first)
+            except ValueError:
+                continue  # no such day in its month: on along the cycle
+
     def _date(self, kind: str, text: str) -> str | None:
         sep = next(c for c in text if not c.isdigit())
         parts = text.split(sep)
@@ -243,24 +263,11 @@ class Pseudonyms:
                 day = datetime.date(year, a, b) if month_first else datetime.date(year, b, a)
         except ValueError:
             return None
-        # Days are permuted among those that the notation reads back in the same order.
-        if kind == "date_iso" or sep == "." or month_first:
-            x = self._permuted("date", day.toordinal() - FIRST_DAY, DAYS)
-            day = datetime.date.fromordinal(x + FIRST_DAY)
-            out = (day.year, day.month, day.day) if kind == "date_iso" else (
-                (day.month, day.day, day.year) if month_first else (day.day, day.month, day.year))
+        day = self._day(day)
+        if kind == "date_iso":
+            out = day.year, day.month, day.day
         else:
-            late = (day.year - 1900) * 12 * 19 + (day.month - 1) * 19 + day.day - 13  # days 13-31, some not in the month
-            while True:
-                late = self._permuted("late", late, 200 * 12 * 19)
-                rest, d = divmod(late, 19)
-                y, m = divmod(rest, 12)
-                try:
-                    day = datetime.date(y + 1900, m + 1, d + 13)
-                    break
-                except ValueError:
-                    continue
-            out = (day.day, day.month, day.year)
+            out = (day.month, day.day, day.year) if month_first else (day.day, day.month, day.year)
         if kind == "date_iso":
             return sep.join((f"{out[0]:04d}", f"{out[1]:02d}", f"{out[2]:02d}"))
         width = 2 if len(parts[0]) == len(parts[1]) == 2 else 1

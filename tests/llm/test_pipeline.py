@@ -6,6 +6,8 @@ sys.path.insert(0, os.path.dirname(__file__))
 from helpers import awkward, clashing, component_ids, documents, hits, shingles  # noqa: E402
 from test_text_operators import brute_lines  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from docengine.llm import queries  # noqa: E402
@@ -54,6 +56,20 @@ def test_stages_take_awkward_tables(spark, small, tmp_path):
         assert (docs.count() > 0) == (label == "awkward")
 
 
+def test_stages_keep_clashing_columns(spark, small, tmp_path):
+    """Columns named as what the operators add keep their values row by row; the text says which row it is."""
+    names = ("grade", "p_toxic", "n_lines", "N_DROPPED", "row", "drop_lines", "__row", "___row", "__column_1", "number")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    docs = docs.select("*", *(F.concat_ws("-", F.lit(n), F.col("doc_id")).alias(n) for n in names))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, small).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.columns == columns
+        kept = docs.select("doc_id", *(F.col(n) for n in names)).collect()
+        assert kept and all(r[n] == f"{n}-{r.doc_id}" for r in kept for n in names)
+
+
 def test_registered():
     found = entry.queries()
     assert {f"op{n}_" for n in range(1, 11)} <= {q[:q.index("_") + 1] for q in found if q.startswith("op")}

@@ -1,3 +1,4 @@
+import datetime
 import math
 import os
 import random
@@ -351,3 +352,18 @@ def test_first_model_is_a_distribution():
     model = language_model.first_model(tokens, 3)
     assert np.allclose(model.emit[:-1].sum(axis=0), 1) and np.allclose(model.move.sum(axis=1), 1)
     assert abs(model.start.sum() - 1) < 1e-12 and (model.emit[-1] == 1).all()
+
+
+def test_notations_of_one_day_stay_linked():
+    """Every day of a few years in all notations: one pseudonym, read back, and no two days meet."""
+    there, back = pii.Pseudonyms(KEY), pii.Pseudonyms(KEY, inverse=True)
+    day, images = datetime.date(1999, 1, 1), {}
+    while day < datetime.date(2005, 1, 1):
+        forms = [f"{day:%Y-%m-%d}", f"{day:%d.%m.%Y}", f"{day:%m/%d/%Y}"] + ([f"{day:%d/%m/%Y}"] if day.day > 12 else [])
+        new = [there.text(f)[0] for f in forms]
+        iso = datetime.date.fromisoformat(new[0])
+        assert new[1:] == [f"{iso:%d.%m.%Y}", f"{iso:%m/%d/%Y}", f"{iso:%d/%m/%Y}"][:len(forms) - 1]
+        assert [back.text(t)[0] for t in new] == forms
+        images[iso] = day
+        day += datetime.timedelta(days=1)
+    assert len(images) == 2192 and sum(a == b for a, b in images.items()) < 10
