@@ -23,17 +23,30 @@ from docengine.llm import decontamination, line_templates, near_duplicates, pack
 from docengine.llm.common import Scratch, table
 
 
+def aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns but doc_id and text under names that no operator makes, and these names."""
+    names = {c: c if c in ("doc_id", "text") else f"__column_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def back(found: DataFrame, names: dict[str, str]) -> DataFrame:
+    return found.select(*(F.col(new).alias(old) for old, new in names.items()))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).where(F.col("grade") == 0).select(*docs.columns)
+    held, names = aside(docs)
+    return back(toxicity.scored(held, model).where(F.col("grade") == 0), names)
 
 
 def drop_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = line_templates.without_templates(docs)
-    if "n_chars" not in docs.columns:
-        return found.select(*docs.columns)
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    held, names = aside(docs)
+    found = line_templates.without_templates(held)
+    if "n_chars" in names:
+        own = names["n_chars"]
+        n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col(own))
+        found = found.withColumn(own, n_chars.cast(docs.schema["n_chars"].dataType))
+    return back(found, names)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
