@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,21 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+_opened: ContextVar[list | None] = ContextVar("opened", default=None)
+
+
+@contextmanager
+def scratch_closed() -> Iterator[None]:
+    """Drop the tables of every ``Scratch`` opened inside, at the end: for work whose result has been written by then."""
+    token = _opened.set([])
+    try:
+        yield
+    finally:
+        for scratch in _opened.get():
+            scratch.close()
+        _opened.reset(token)
+
+
 class Scratch:
     """Intermediate tables in the folder that all executors share.
 
@@ -61,6 +78,11 @@ class Scratch:
         fs, path = hadoop_path(spark, self.root)
         fs.mkdirs(path)
         fs.deleteOnExit(path)
+        if _opened.get() is not None:
+            _opened.get().append(self)
+
+    def close(self) -> None:
+        delete_path(self.spark, self.root)
 
     def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = f"{self.root}/{name}"

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.common import Scratch, batch, free_name, prepare, text_column, texts
+from docengine.llm.common import Scratch, batch, free_name, prepare, release, scratch_closed, text_column, texts
 
 WINDOW = 10
 SLOP = 2
@@ -278,9 +278,10 @@ def without_benchmark(docs: DataFrame, bench: DataFrame, width: int = WINDOW) ->
     Rows with equal id and text are one document; a null text has no words.
     """
     spark = prepare(docs.sparkSession)
-    row = free_name(docs, "__row")
-    numbered = Scratch(spark, "decontamination-rows").write(
-        docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    found = contaminated(numbered.select(F.col(row).alias("doc_id"), "text"), bench, width)
-    dirty = found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias(row))
+    row, scratch = free_name(docs, "__row"), Scratch(spark, "decontamination-rows")
+    numbered = scratch.write(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    with scratch_closed():
+        found = contaminated(numbered.select(F.col(row).alias("doc_id"), "text"), bench, width)
+        dirty = scratch.write(found.where(F.col("n_hit") > 0).select(F.col("doc_id").alias(row)), "dirty")
+    release(spark)
     return numbered.join(dirty, row, "left_anti").drop(row)

@@ -120,8 +120,10 @@ def without_templates(docs: DataFrame) -> DataFrame:
                          "keys")
     release(spark)
     follow = scratch.write(followed(lines, keys, scratch), "follow")
+    scratch.drop("bodies")
     drops = scratch.write(recurring(keys, follow).groupBy("row").agg(F.collect_set("line_no").alias("drop_lines")),
                           "drops")
+    scratch.drop("keys", "follow")
     release(spark)
     clash = {c: f"{c}__kept" for c in docs.columns if c in ("row", "drop_lines")}
     held = docs.withColumnsRenamed(clash)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docengine.llm.common import (
-    Scratch, ascending, batch, free_name, mix, prepare, small_side, text_column, texts,
+    Scratch, ascending, batch, free_name, mix, prepare, release, scratch_closed, small_side, text_column, texts,
 )
 
 WORDS = 5
@@ -347,13 +347,15 @@ def one_of_each(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFram
     Of rows that repeat that id one stays; documents with empty sets all stay.
     """
     spark = prepare(docs.sparkSession)
-    row = free_name(docs, "__row")
-    numbered = Scratch(spark, "one-of-each").write(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    row, scratch = free_name(docs, "__row"), Scratch(spark, "one-of-each")
+    numbered = scratch.write(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     ranked = numbered.select(F.col(row).alias("number"), F.col("doc_id").cast("long").alias("id"), "text")
-    # Row numbers stand for ids, so that every row is a document of its own.
-    found = near_duplicates(ranked.select(F.col("number").alias("doc_id"), "text"), similar)
-    ids = ranked.select("number", "id")
-    chosen = (found.join(ids.withColumnRenamed("number", "doc_id"), "doc_id").groupBy("component_id")
-              .agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).alias("first"))
-              .select(F.col("first.doc_id").alias(row)))
+    ids = ranked.select(F.col("number").alias("doc_id"), "id")
+    with scratch_closed():
+        # Row numbers stand for ids, so that every row is a document of its own.
+        found = near_duplicates(ranked.select(F.col("number").alias("doc_id"), "text"), similar)
+        first = F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).alias("first")
+        chosen = scratch.write(found.join(ids, "doc_id").groupBy("component_id").agg(first)
+                               .select(F.col("first.doc_id").alias(row)), "chosen")
+    release(spark)
     return numbered.join(chosen, row, "left_semi").drop(row)

@@ -92,3 +92,21 @@ def test_line_templates_against_sql(spark, small):
     at = [wanted.columns.index(c) for c in ("doc_id", "text", "n_lines", "n_dropped")]
     got = queries.QUERIES["op8_line_templates"](spark, small).select("doc_id", "text", "n_lines", "n_dropped").collect()
     assert sorted(tuple(r) for r in got) == sorted(tuple(r[i] for i in at) for r in wanted.fetchall())
+
+
+def test_stages_leave_no_intermediate_tables(spark, small):
+    """What a stage leaves in the shared folder are its rows and its verdicts, not the tables these were made from."""
+    from docengine.llm.decontamination import without_benchmark
+    from docengine.llm.near_duplicates import one_of_each
+    from docengine.runtime import list_dirs, work_dir
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    bench = spark.read.parquet(f"{small}/benchmark.parquet")
+    for run, label, left in ((lambda: one_of_each(docs), "one-of-each", ["chosen", "rows"]),
+                             (lambda: without_benchmark(docs, bench), "decontamination-rows", ["dirty", "rows"])):
+        before = set(list_dirs(spark, work_dir(spark)))
+        found = run()
+        new = [d for d in list_dirs(spark, work_dir(spark)) if d not in before]
+        assert len(new) == 1 and new[0].startswith(label)
+        assert list_dirs(spark, f"{work_dir(spark)}/{new[0]}") == left
+        assert found.count() > 0
