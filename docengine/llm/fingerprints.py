@@ -89,9 +89,9 @@ def _ranges(own: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     return dealt, first.select(*own.columns, "range"), parts
 
 
-ROWS = ("doc_id long, text_key binary, set_key binary, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+ROWS = ("doc_id long, text_key binary, set_key binary, n_shingles long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
         "near_edited double, near_next double")
-_ROWS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("set_key", pa.binary()), ("n_chars", pa.int64()),
+_ROWS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("set_key", pa.binary()), ("n_shingles", pa.int64()), ("n_chars", pa.int64()),
                    ("edited_sha256", pa.string()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
                    ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
@@ -116,11 +116,11 @@ def beside_next(own: DataFrame) -> DataFrame:
             keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
             prints = printer.of_sets(sets)
             pairs = []
-            for row, own_print, set_key in zip(rows, prints, keys):
+            for row, own_print, set_key, own_set in zip(rows, prints, keys, sets):
                 # A document and the one after it; after the range's head nothing waits.
                 if last is not None and last[0][0] == row[0]:
                     pairs.append((last, (row, own_print)))
-                last = None if row[1] else (row, own_print, set_key)
+                last = None if row[1] else (row, own_print, set_key, len(own_set))
             if not pairs:
                 continue
             changed = [edited(a[0][4], z[0][4]) for a, z in pairs]
@@ -128,7 +128,7 @@ def beside_next(own: DataFrame) -> DataFrame:
             after = printer.prints(changed)
             yield batch({
                 "doc_id": [a[0][2] for a, _ in pairs], "text_key": [a[0][3] for a, _ in pairs],
-                "set_key": [a[2] for a, _ in pairs],
+                "set_key": [a[2] for a, _ in pairs], "n_shingles": [a[3] for a, _ in pairs],
                 "n_chars": [len(a[0][4]) for a, _ in pairs],
                 "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
                 "fingerprint": [p.tobytes() for p in mine], "edited_fingerprint": [p.tobytes() for p in after],
@@ -153,7 +153,7 @@ def fingerprinted(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFr
     own = keyed(docs)
     rows = scratch.write(beside_next(own), "prints")
     release(spark)
-    signed = rows.select("doc_id", "text_key", "set_key", F.col("fingerprint").alias("signature"))
+    signed = rows.select("doc_id", "text_key", "set_key", "n_shingles", F.col("fingerprint").alias("signature"))
     found = rows.join(grouped(signed, own, scratch, similar, LAYOUT), "set_key", "left")
     return found.select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),

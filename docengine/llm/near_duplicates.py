@@ -8,13 +8,22 @@ below 1e-8.
 
 Documents of equal sets are one node from the start.  Buckets of up to
 ``SMALL`` nodes compare all their nodes, larger ones compare theirs with a few
-pivots at a time: nodes that links have joined in the meantime need no
-comparison, so a group of thousands of copies takes one or two pivots.  A
-pivot that was compared with all others leaves its bucket, the number of
-pivots quadruples from round to round, and rounds go on until no bucket holds two
-nodes that are neither joined nor compared.  No bucket is cut, and no pair is
-lost but by the hashing itself.  Candidates pass the similarity of their
-signatures (with room for its error) and then that of their whole sets,
+pivots at a time, first with those that share the most buckets with others, as
+the text that copies were made from does: nodes that links have joined in the
+meantime need no comparison, so a group of thousands of copies takes one or
+two pivots.  A pivot that was compared with all others leaves its bucket, the
+number of pivots grows ``GROWTH`` times from round to round, and rounds go on until
+no bucket holds two nodes that are neither joined nor compared.
+
+What is then left in a large bucket is mostly texts that differ from all others
+by more than the limit.  They are told apart by their shared shingles, those
+that another component has too: two nodes of different components meet in
+shared ones alone, so their intersection is at most the sum, over ``PARTS``
+classes of shingles, of the smaller count of shared ones.  Pairs whose sizes and
+that bound rule a link out are not made, and a node whose shared shingles are
+too few for any partner leaves.  Both are exact: no bucket is cut, and no
+pair is lost but by the hashing itself.  Candidates pass the similarity of
+their signatures (with room for its error) and then that of their whole sets,
 made anew from the texts.
 
 Components: large-star and small-star steps in turn, until nothing changes;
@@ -31,7 +40,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docengine.llm.common import (
@@ -40,6 +49,8 @@ from docengine.llm.common import (
 
 WORDS = 5
 SMALL = 16
+GROWTH = 16           # how many times as many pivots a round has as the one before
+PARTS = 16            # classes that shared shingles are counted in
 SIMILAR = (80, 100)   # intersection / union at least 80 / 100
 ROOM = 6              # standard deviations of the signature's estimate that a candidate may fall short
 CHUNK = 1 << 15       # shingles hashed at once
@@ -157,7 +168,41 @@ def buckets(nodes: DataFrame, layout: Layout) -> DataFrame:
     width = layout.band_bytes
     bands = F.array(*(F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width))
                       for i in range(layout.bands)))
-    return nodes.select("node", F.explode(bands).alias("bucket"))
+    return nodes.select("node", "n_shingles", F.explode(bands).alias("bucket"))
+
+
+def sizes_allow(n: Column, m: Column, similar: tuple[int, int]) -> Column:
+    """Whether sets of ``n`` and ``m`` elements can be similar enough at all."""
+    return similar[0] * F.greatest(n, m) <= similar[1] * F.least(n, m)
+
+
+def shingle_rows(held: DataFrame) -> DataFrame:
+    """(node, shingle): the distinct shingles of the texts of ``held``."""
+    schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for b in batches:
+            for node, text in zip(text_column(b, "node"), text_column(b)):
+                values = shingler.shingles(text).view(np.int64)
+                for i in range(0, len(values), CHUNK):
+                    part = values[i:i + CHUNK]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), node)), pa.array(part)], schema=schema)
+
+    return held.select("node", "text").mapInArrow(run, "node long, shingle long")
+
+
+def shared_counts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shared): by class, how many shingles of a node another component holds too.
+
+    ``rows`` is (node, shingle), ``nodes`` (node, component); nodes that share none are left out.
+    """
+    own = rows.join(nodes, "node")
+    wide = (own.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+            .where("x <> y").select("shingle"))
+    part = F.shiftrightunsigned("shingle", 64 - PARTS.bit_length() + 1)
+    counts = F.array(*(F.count(F.when(part == i, 1)).cast("int") for i in range(PARTS)))
+    return own.join(wide, "shingle", "left_semi").groupBy("node").agg(counts.alias("shared"))
 
 
 def verified(pairs: DataFrame, held: DataFrame, similar: tuple[int, int], layout: Layout) -> DataFrame:
@@ -247,15 +292,21 @@ def joined(members: DataFrame, component: DataFrame | None) -> DataFrame:
     """(bucket, node, component) with the components so far."""
     if component is None:
         return members.withColumn("component", F.col("node"))
-    return members.join(component, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component"))
+    return members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def still_open(state: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    open_ = (state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+             .where("x <> y").select("bucket"))
+    return state.join(open_, "bucket", "left_semi")
 
 
 def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
            layout: Layout = LAYOUT) -> DataFrame | None:
     """(node, component) of the nodes with links; None if there are none.
 
-    ``nodes`` has (node, doc_id, text_key, signature), a row per distinct set:
+    ``nodes`` has (node, doc_id, text_key, n_shingles, signature), a row per distinct set:
     the id and text of one of its documents.
     """
     found = buckets(nodes, layout)
@@ -268,50 +319,71 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
     bodies = bodies.select("node", "text").dropDuplicates(["node"])
     held = scratch.write(asked.select("node", "signature").join(bodies, "node"), "held")
 
-    few = members.where(F.col("size") <= SMALL).select("bucket", "node")
+    few = members.where(F.col("size") <= SMALL)
     # At most SMALL - 1 partners in each of a node's buckets.
-    close = few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket")
-    pairs = close.where("a < b").select("a", "b")
-    rest = members.where(F.col("size") > SMALL).select("bucket", "node")
-    links, component, pivots, step = [], None, 2, 0
+    close = few.select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n")).join(
+        few.select("bucket", F.col("node").alias("b"), F.col("n_shingles").alias("m")), "bucket")
+    pairs = close.where((F.col("a") < F.col("b")) & sizes_allow(F.col("n"), F.col("m"), similar)).select("a", "b")
+    many = members.where(F.col("size") > SMALL)
+    popular = many.groupBy("node").agg(F.sum("size").alias("popular"))
+    rest = many.join(popular, "node").select("bucket", "node", "n_shingles", "popular")
+    links, component, shingles, pivots, step = [], None, None, 2, 0
     while True:
         state = joined(rest, component)
-        if component is not None or step == 0:
-            open_ = (state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                     .where("x <> y").select("bucket"))
-            state = state.join(open_, "bucket", "left_semi")
+        if step:
+            state = scratch.write(still_open(state), f"left-{step}")
+            scratch.drop(f"open-{step - 1}", f"able-{step - 1}", f"pivots-{step - 1}", f"pairs-{step - 1}")
+            if state.isEmpty():
+                break
+            if shingles is None:
+                shingles = scratch.write(shingle_rows(held.join(
+                    state.select("node").distinct(), "node", "left_semi")), "shingles")
+            counts = shared_counts(shingles, state.select("node", "component").distinct())
+            counts = counts.withColumn("n_shared", F.aggregate("shared", F.lit(0), lambda n, k: n + k))
+            state = still_open(scratch.write(state.join(counts, "node").where(
+                similar[1] * F.col("n_shared") >= similar[0] * F.col("n_shingles")), f"able-{step}"))
         rest = scratch.write(state, f"open-{step}")
-        # The least node of each of ``pivots`` parts of a bucket: an aggregate, however many nodes it has.
+        scratch.drop(f"left-{step}")
+        # The most popular node of each of ``pivots`` parts of a bucket: an aggregate, however many nodes it has.
+        told = ["node", "component", "n_shingles", *(("n_shared", "shared") if step else ())]
         chosen = (rest.groupBy("bucket", F.pmod(F.xxhash64("component"), F.lit(pivots)).alias("part"))
-                  .agg(F.min(F.struct("node", "component")).alias("p"))
-                  .select("bucket", F.col("p.node").alias("pivot"), F.col("p.component").alias("of")))
+                  .agg(F.max_by(F.struct(*told), F.struct("popular", "node")).alias("p")).select("bucket", "p"))
         chosen = scratch.write(chosen, f"pivots-{step}")
-        against = (rest.join(chosen, "bucket").where("component <> of")
-                   .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")))
+        able = (F.col("component") != F.col("p.component")) & sizes_allow(
+            F.col("n_shingles"), F.col("p.n_shingles"), similar)
+        if step:
+            needed = similar[0] * (F.col("n_shingles") + F.col("p.n_shingles"))
+            common = reduce(Column.__add__, (F.least(F.col("shared")[i], F.col("p.shared")[i]) for i in range(PARTS)))
+            able &= needed <= sum(similar) * F.least("n_shared", "p.n_shared")
+            able &= needed <= sum(similar) * common
+        against = (rest.join(chosen, "bucket").where(able)
+                   .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")))
         pairs = against if pairs is None else pairs.union(against)
-        size = Observation()
+        size, made = Observation(), Observation()
         pairs = scratch.write(pairs.distinct().observe(size, F.count("*").alias("n")), f"pairs-{step}")
-        if not size.get["n"]:
-            break
-        links.append(scratch.write(verified(pairs, held, similar, layout), f"links-{step}"))
-        component = components(reduce(DataFrame.union, links), scratch, f"components-{step}")
-        rest = rest.select("bucket", "node").join(
-            chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-        pairs, pivots, step = None, pivots * 4, step + 1
-    scratch.drop("members", "asked", "held")
+        if size.get["n"]:
+            link = scratch.write(verified(pairs, held, similar, layout).observe(made, F.count("*").alias("n")),
+                                 f"links-{step}")
+            if made.get["n"]:
+                links.append(link)
+                component = components(reduce(DataFrame.union, links), scratch, f"components-{step}")
+        rest = rest.select("bucket", "node", "n_shingles", "popular").join(
+            chosen.select("bucket", F.col("p.node").alias("node")), ["bucket", "node"], "left_anti")
+        pairs, pivots, step = None, pivots * GROWTH, step + 1
+    scratch.drop("members", "asked", "held", "shingles")
     return component
 
 
 def grouped(rows: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
             layout: Layout = LAYOUT) -> DataFrame:
-    """(set_key, component_id) of the keys in ``rows`` (doc_id, text_key, set_key, signature)."""
+    """(set_key, component_id) of the keys in ``rows`` (doc_id, text_key, set_key, n_shingles, signature)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
     classes = (rows.where(F.col("set_key").isNotNull()).groupBy("set_key")
-               .agg(first, F.first("signature").alias("signature"))
+               .agg(first, *(F.first(c).alias(c) for c in ("n_shingles", "signature")))
                .select("set_key", F.monotonically_increasing_id().alias("node"), "first.doc_id", "first.text_key",
-                       "signature"))
+                       "n_shingles", "signature"))
     classes = scratch.write(classes, "classes")  # once written, the numbers stay
-    component = linked(classes.select("node", "doc_id", "text_key", "signature"), keyed_docs, scratch, similar, layout)
+    component = linked(classes.drop("set_key"), keyed_docs, scratch, similar, layout)
     named = classes.select("set_key", "node", F.col("doc_id").alias("first_id"))
     if component is None:
         named = named.withColumn("component_id", F.col("first_id"))

@@ -65,6 +65,28 @@ def test_large_group_is_joined_without_all_pairs(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def around_one(base_kept: bool) -> list[tuple[int, str]]:
+    """A text and 150 copies with one to six words changed: most are too far from each other, some changes recur."""
+    draw = random.Random(11)
+    words = [f"w{k}" for k in range(120)]
+    rows = [(500, " ".join(words))] if base_kept else []
+    for i in range(150):
+        own = list(words)
+        for _ in range(1 + i % 6):
+            own[draw.choice((10, 40, 70, 100)) if i % 3 else draw.randrange(120)] = f"x{draw.randrange(6) if i % 3 else i}"
+        rows.append((i, " ".join(own[:120 - i % 5])))
+    return rows
+
+
+@pytest.mark.parametrize("base_kept", [True, False])
+def test_large_group_of_texts_far_from_each_other(spark, base_kept):
+    rows = around_one(base_kept)
+    wanted = component_ids(rows, 85)
+    assert 1 < len({w[2] for w in wanted}) < len(rows)
+    got = near_duplicates.near_duplicates(documents(spark, rows), (85, 100)).collect()
+    assert key((r.doc_id, r.n_shingles, r.component_id) for r in got) == key(wanted)
+
+
 def test_components_of_a_long_path(spark):
     draw = random.Random(6)
     nodes = list(range(40))
