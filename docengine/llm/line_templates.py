@@ -51,7 +51,8 @@ def parsed(docs: DataFrame) -> DataFrame:
     """One row per line of at least ``LEAST_TOKENS`` tokens:
 
     row, line_no, leaf and body (keys of the masked line), masked (its tokens
-    joined), n_tokens, and context (the neighbour lines' masked tokens).
+    joined), n_tokens, and context (a 64-bit hash of the neighbour lines' masked
+    tokens: only contexts of one template are ever compared).
     """
     lines = F.split("text", "\n")
     forms = docs.where(F.col("text").isNotNull()).select(
@@ -63,7 +64,7 @@ def parsed(docs: DataFrame) -> DataFrame:
         "row", F.col("forms").alias("masked"), keys.alias("body"),
         F.concat(edge, F.slice(keys, 1, n - 1)).alias("before"), F.concat(F.slice(keys, 2, n - 1), edge).alias("after"))
     spread = moved.select("row", F.posexplode(F.arrays_zip("masked", "body", "before", "after")).alias("line_no", "line")).select(
-        "row", "line_no", "line.masked", "line.body", F.concat("line.before", "line.after").alias("context"))
+        "row", "line_no", "line.masked", "line.body", F.xxhash64("line.before", "line.after").alias("context"))
     n_tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     return spread.withColumn("n_tokens", n_tokens).where(F.col("n_tokens") >= LEAST_TOKENS).select(
         "row", "line_no", "masked", "n_tokens",
@@ -78,28 +79,34 @@ def followed(lines: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
     bodies = (lines.join(several, "leaf", "left_semi").groupBy("leaf", "body", "n_tokens", "masked")
               .agg(F.count("*").alias("lines")))
     bodies = scratch.write(bodies, "bodies")  # read twice
-    places = bodies.select("leaf", "body", "n_tokens", "lines",
-                           F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    places = bodies.select("leaf", "lines", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     tokens = places.groupBy("leaf", "place", "token").agg(F.sum("lines").alias("lines"))
-    template = tokens.groupBy("leaf", "place").agg(F.max_by("token", F.struct("lines", "token")).alias("common"))
-    return (places.join(template, ["leaf", "place"]).groupBy("leaf", "body", "n_tokens")
-            .agg(F.sum(F.when(F.col("token") == F.col("common"), 1).otherwise(0)).alias("same"))
-            .where(F.col("same") >= AGREE * F.col("n_tokens")).select("leaf", "body"))
-
-
-def recurring(keys: DataFrame, follow: DataFrame) -> DataFrame:
-    """(leaf, body) of the lines whose template recurs, with its counts."""
-    follow = follow.withColumn("follows", F.lit(True))
-    named = keys.join(follow, ["leaf", "body"], "left").select(
-        "row", "line_no", "context", "leaf", "body",
-        F.when(F.col("follows"), F.col("leaf")).otherwise(F.col("body")).alias("template"),
-        F.coalesce("follows", F.lit(False)).alias("follows"))
-    first = named.groupBy("template", "follows", "row").agg(F.min_by("context", "line_no").alias("context"))
+    common = tokens.groupBy("leaf", "place").agg(F.max_by("token", F.struct("lines", "token")).alias("common"))
+    # All lines of a leaf have as many places: a template is as long as one line.
+    template = common.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("place", "common"))).alias("common"))
+    template = scratch.write(template.select("leaf", F.col("common.common").alias("common")), "template")
+    release(bodies.sparkSession)
+    alike = F.zip_with(F.split("masked", " "), "common", lambda token, common: token == common)
+    return (bodies.join(template, "leaf").where(F.size(F.filter(alike, lambda same: same)) >= AGREE * F.col("n_tokens"))
+            .select("leaf", "body"))
+
+
+def named(keys: DataFrame, follow: DataFrame) -> DataFrame:
+    """(row, line_no, context, template, follows): every line under the template that it counts for."""
+    # A body has one leaf, so that lines need not carry theirs.
+    lines = keys.select("row", "line_no", "context", "body").join(
+        small_side(follow.select("body", "leaf"), 64), "body", "left")
+    return lines.select("row", "line_no", "context", F.coalesce("leaf", "body").alias("template"),
+                        F.col("leaf").isNotNull().alias("follows"))
+
+
+def recurring(lines: DataFrame) -> DataFrame:
+    """(template, follows) of the templates of ``named`` lines that recur."""
+    first = lines.groupBy("template", "follows", "row").agg(F.min_by("context", "line_no").alias("context"))
     contexts = first.groupBy("template", "follows", "context").agg(F.count("*").alias("docs"))
-    found = (contexts.groupBy("template", "follows")
-             .agg(F.sum("docs").alias("docs"), F.count("*").alias("contexts"))
-             .where((F.col("docs") >= LEAST_DOCS) & (F.col("contexts") >= LEAST_CONTEXTS)))
-    return named.join(found, ["template", "follows"], "left_semi").select("row", "line_no")
+    return (contexts.groupBy("template", "follows")
+            .agg(F.sum("docs").alias("docs"), F.count("*").alias("contexts"))
+            .where((F.col("docs") >= LEAST_DOCS) & (F.col("contexts") >= LEAST_CONTEXTS)).select("template", "follows"))
 
 
 def without_templates(docs: DataFrame) -> DataFrame:
@@ -120,17 +127,23 @@ def without_templates(docs: DataFrame) -> DataFrame:
                          "keys")
     release(spark)
     follow = scratch.write(followed(lines, keys, scratch), "follow")
-    scratch.drop("bodies")
-    drops = scratch.write(recurring(keys, follow).groupBy("row").agg(F.collect_set("line_no").alias("drop_lines")),
-                          "drops")
+    scratch.drop("bodies", "template")
+    release(spark)
+    lines = scratch.write(named(keys, follow), "named")
     scratch.drop("keys", "follow")
     release(spark)
+    found = scratch.write(recurring(lines), "found")
+    release(spark)
+    gone = lines.join(small_side(found, 48), ["template", "follows"], "left_semi")
+    drops = scratch.write(gone.groupBy("row").agg(F.collect_set("line_no").alias("drop_lines")), "drops")
+    scratch.drop("named", "found")
+    release(spark)
     clash = {c: f"{c}__kept" for c in docs.columns if c in ("row", "drop_lines")}
     held = docs.withColumnsRenamed(clash)
     all_lines = F.split("text", "\n")
     dropped = F.coalesce(F.size("drop_lines"), F.lit(0))
     kept = F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains("drop_lines", i)), "\n")
-    out = held.withColumn("row", row_key(held)).join(drops, "row", "left")
+    out = held.withColumn("row", row_key(held)).join(small_side(drops, 64), "row", "left")
     columns = [(F.when(dropped > 0, kept).otherwise(F.col("text")) if c == "text" else F.col(clash.get(c, c))).alias(c)
                for c in docs.columns]
     return out.select(*columns, F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("n_lines"),

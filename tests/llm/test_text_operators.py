@@ -259,6 +259,28 @@ def test_line_templates(spark):
     assert line_templates.without_templates(documents(spark, [])).count() == 0
 
 
+def test_line_templates_hold_one_table_of_lines_at_a_time(spark, monkeypatch):
+    held, before = [], {}
+    write, drop = line_templates.Scratch.write, line_templates.Scratch.drop
+
+    def written(self, df, name, *rest):
+        before[name] = list(held)
+        held.append(name)
+        return write(self, df, name, *rest)
+
+    def dropped(self, *names):
+        held[:] = [n for n in held if n not in names]
+        drop(self, *names)
+
+    monkeypatch.setattr(line_templates.Scratch, "write", written)
+    monkeypatch.setattr(line_templates.Scratch, "drop", dropped)
+    docs = documents(spark)
+    line_templates.without_templates(docs)
+    # Templates are counted on narrow rows, with the table of keys gone.
+    assert before["found"] == ["named"] and held == ["drops"]
+    assert dict(line_templates.parsed(docs).dtypes)["context"] == "bigint"
+
+
 def test_line_templates_use_no_python(spark):
     plan = line_templates.without_templates(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
