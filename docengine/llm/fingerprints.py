@@ -11,7 +11,7 @@ that differ in a few shingles often share a fingerprint.
 
 To set a document beside the next one, documents are dealt into ranges of
 doc_id and read in order; the first document of a range goes to the end of the
-range before it too.  Texts are shuffled once.
+range before it too.  Texts are shuffled once, packed.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from docengine.llm.near_duplicates import SIMILAR, Layout, Shingler, coefficient
 HASHES = 128
 LAYOUT = Layout(hashes=HASHES, bands=25, rows=5, dtype="<u2")
 RANGE_BYTES = 16 << 20
+UNPACKED = 16 << 20   # bytes of text unpacked at a time
 
 
 class Printer:
@@ -96,6 +97,38 @@ _ROWS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("set_key"
                    ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` (range, head, doc_id, text_key, text) with the text as n_bytes and its bytes, compressed."""
+    schema = pa.schema([("range", pa.int64()), ("head", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.binary()),
+                        ("n_bytes", pa.int64()), ("packed", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 1)
+        for b in batches:
+            held = [t.encode("utf-8", "surrogatepass") for t in text_column(b)]
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(b.schema.get_field_index(c)).cast(schema.field(c).type) for c in schema.names[:4]),
+                 pa.array(map(len, held), pa.int64()),
+                 pa.array([codec.compress(t, asbytes=True) for t in held], pa.binary())], schema=schema)
+
+    return rows.select("range", "head", "doc_id", "text_key", "text").mapInArrow(
+        run, "range long, head int, doc_id long, text_key binary, n_bytes long, packed binary")
+
+
+def unpacked(b: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """Rows (range, head, doc_id, text_key, text) of a batch of ``packed``, ``UNPACKED`` bytes or one text at a time."""
+    codec, rows, size = pa.Codec("zstd"), [], 0
+    for *row, n, held in zip(*(text_column(b, c) for c in ("range", "head", "doc_id", "text_key", "n_bytes", "packed"))):
+        if rows and size + n > UNPACKED:
+            yield rows
+            rows, size = [], 0
+        text = codec.decompress(held, n, asbytes=True) if n else b""
+        rows.append((*row, text.decode("utf-8", "surrogatepass")))
+        size += n
+    if rows:
+        yield rows
+
+
 def beside_next(own: DataFrame) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likenesses; ``own`` is ``keyed``.
 
@@ -103,15 +136,12 @@ def beside_next(own: DataFrame) -> DataFrame:
     """
     dealt, first, parts = _ranges(own)
     both = dealt.withColumn("head", F.lit(0)).unionByName(first.withColumn("head", F.lit(1)))
-    sorted_ = both.repartition(parts, "range").sortWithinPartitions("range", "head", "doc_id", "text_key")
+    sorted_ = packed(both).repartition(parts, "range").sortWithinPartitions("range", "head", "doc_id", "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         printer = Printer()
         last = None  # the row before, which waits for its next text, and its fingerprint
-        for b in batches:
-            rows = list(zip(*(text_column(b, c) for c in ("range", "head", "doc_id", "text_key", "text"))))
-            if not rows:
-                continue
+        for rows in (part for b in batches for part in unpacked(b)):
             sets = [printer.shingler.shingles(r[4]) for r in rows]
             keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
             prints = printer.of_sets(sets)
@@ -134,7 +164,7 @@ def beside_next(own: DataFrame) -> DataFrame:
                 "fingerprint": [p.tobytes() for p in mine], "edited_fingerprint": [p.tobytes() for p in after],
                 "near_edited": likeness(mine, after), "near_next": likeness(mine, following)}, _ROWS)
 
-    return sorted_.select("range", "head", "doc_id", "text_key", "text").mapInArrow(run, ROWS)
+    return sorted_.mapInArrow(run, ROWS)
 
 
 def fingerprinted(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:

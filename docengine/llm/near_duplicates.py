@@ -163,12 +163,16 @@ def signed(docs: DataFrame) -> DataFrame:
         run, "doc_id long, text_key binary, n_shingles long, set_key binary, signature binary")
 
 
-def buckets(nodes: DataFrame, layout: Layout) -> DataFrame:
-    """(bucket, node) for all bands; a bucket is a band's rows, hashed with its number."""
+def bands(layout: Layout) -> Column:
+    """The rows of every band of a signature, hashed to 32 bits; bands that collide only cost a comparison."""
     width = layout.band_bytes
-    bands = F.array(*(F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width))
-                      for i in range(layout.bands)))
-    return nodes.select("node", "n_shingles", F.explode(bands).alias("bucket"))
+    return F.array(*(F.hash(F.substring("signature", 1 + i * width, width)) for i in range(layout.bands)))
+
+
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(node, n_shingles, bucket) for all bands; a bucket is a band's hash with its number."""
+    return nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "key")).select(
+        "node", "n_shingles", (F.col("band").cast("long") * (1 << 32) + F.col("key")).alias("bucket"))
 
 
 def sizes_allow(n: Column, m: Column, similar: tuple[int, int]) -> Column:
@@ -205,10 +209,11 @@ def shared_counts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return own.join(wide, "shingle", "left_semi").groupBy("node").agg(counts.alias("shared"))
 
 
-def verified(pairs: DataFrame, held: DataFrame, similar: tuple[int, int], layout: Layout) -> DataFrame:
+def verified(pairs: DataFrame, held: DataFrame, scratch: Scratch, name: str, similar: tuple[int, int],
+             layout: Layout) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough; ``held`` has (node, signature, text).
 
-    First by signature: narrow rows; then by the sets, made from the texts
+    First by signature: narrow rows, written as ``name``; then by the sets, made from the texts
     of the pairs that are left.
     """
     share = similar[0] / similar[1]
@@ -227,8 +232,9 @@ def verified(pairs: DataFrame, held: DataFrame, similar: tuple[int, int], layout
             keep = pa.array((x == y).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([a_id.filter(keep), b_id.filter(keep)], schema=alike)
 
-    likely = both.select("a", "b", "sa", "sb").mapInArrow(estimate, "a long, b long")
-    texts_of = held.select("node", "text")
+    likely = scratch.write(both.select("a", "b", "sa", "sb").mapInArrow(estimate, "a long, b long"), name)
+    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts_of = held.select("node", "text").join(small_side(needed, 8), "node", "left_semi")
     full = (likely.join(texts_of.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
             .join(texts_of.withColumnsRenamed({"node": "a", "text": "ta"}), "a"))
 
@@ -302,22 +308,29 @@ def still_open(state: DataFrame) -> DataFrame:
     return state.join(open_, "bucket", "left_semi")
 
 
-def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
+def linked(nodes: DataFrame, rows: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
            layout: Layout = LAYOUT) -> DataFrame | None:
     """(node, component) of the nodes with links; None if there are none.
 
-    ``nodes`` has (node, doc_id, text_key, n_shingles, signature), a row per distinct set:
-    the id and text of one of its documents.
+    ``nodes`` has (node, doc_id, text_key, n_shingles, bands), a row per distinct set:
+    the id and text of one of its documents.  ``rows`` has the signatures.
     """
-    found = buckets(nodes, layout)
-    sizes = found.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = scratch.write(found.join(sizes, "bucket"), "members")
-    asked = scratch.write(nodes.join(members.select("node").distinct(), "node", "left_semi"), "asked")
-    # Texts of the candidates alone, each from one row of the table; rows that repeat it count once.
-    ways = small_side(asked.select("node", F.col("doc_id").alias("id"), F.col("text_key").alias("key")), 64)
-    bodies = keyed_docs.join(ways, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")))
-    bodies = bodies.select("node", "text").dropDuplicates(["node"])
-    held = scratch.write(asked.select("node", "signature").join(bodies, "node"), "held")
+    spark = nodes.sparkSession
+    found = buckets(nodes)
+    sizes = scratch.write(found.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    members = scratch.write(found.join(small_side(sizes, 16), "bucket"), "members")
+    scratch.drop("sizes")
+    ways = nodes.select("node", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    ways = scratch.write(ways.join(members.select("node").distinct(), "node", "left_semi"), "asked")
+    release(spark)
+    # Signatures and texts of the candidates alone, each from one row of the table; rows that repeat it count once.
+    ways = small_side(ways, 64)
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))
+    bodies = keyed_docs.join(ways, same).select("node", "text").dropDuplicates(["node"])
+    prints = rows.select("doc_id", "text_key", "signature").join(ways, same)
+    prints = prints.select("node", "signature").dropDuplicates(["node"])
+    held = scratch.write(prints.join(bodies, "node"), "held")
+    release(spark)
 
     few = members.where(F.col("size") <= SMALL)
     # At most SMALL - 1 partners in each of a node's buckets.
@@ -327,12 +340,17 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
     many = members.where(F.col("size") > SMALL)
     popular = many.groupBy("node").agg(F.sum("size").alias("popular"))
     rest = many.join(popular, "node").select("bucket", "node", "n_shingles", "popular")
-    links, component, shingles, pivots, step = [], None, None, 2, 0
+    links, component, chosen, shingles, pivots, step = [], None, None, None, 2, 0
     while True:
         state = joined(rest, component)
         if step:
+            # Buckets that the links have closed go first; of the others, the pivots have met all nodes and go.
+            state = scratch.write(still_open(state), f"some-{step}").join(
+                chosen.select("bucket", F.col("p.node").alias("node")), ["bucket", "node"], "left_anti")
             state = scratch.write(still_open(state), f"left-{step}")
-            scratch.drop(f"open-{step - 1}", f"able-{step - 1}", f"pivots-{step - 1}", f"pairs-{step - 1}")
+            scratch.drop(f"some-{step}", f"open-{step - 1}", f"able-{step - 1}", f"pivots-{step - 1}",
+                         f"pairs-{step - 1}", f"likely-{step - 1}")
+            release(spark)
             if state.isEmpty():
                 break
             if shingles is None:
@@ -362,13 +380,12 @@ def linked(nodes: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
         size, made = Observation(), Observation()
         pairs = scratch.write(pairs.distinct().observe(size, F.count("*").alias("n")), f"pairs-{step}")
         if size.get["n"]:
-            link = scratch.write(verified(pairs, held, similar, layout).observe(made, F.count("*").alias("n")),
-                                 f"links-{step}")
+            link = verified(pairs, held, scratch, f"likely-{step}", similar, layout)
+            link = scratch.write(link.observe(made, F.count("*").alias("n")), f"links-{step}")
             if made.get["n"]:
                 links.append(link)
                 component = components(reduce(DataFrame.union, links), scratch, f"components-{step}")
-        rest = rest.select("bucket", "node", "n_shingles", "popular").join(
-            chosen.select("bucket", F.col("p.node").alias("node")), ["bucket", "node"], "left_anti")
+        rest = rest.select("bucket", "node", "n_shingles", "popular")
         pairs, pivots, step = None, pivots * GROWTH, step + 1
     scratch.drop("members", "asked", "held", "shingles")
     return component
@@ -378,12 +395,12 @@ def grouped(rows: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
             layout: Layout = LAYOUT) -> DataFrame:
     """(set_key, component_id) of the keys in ``rows`` (doc_id, text_key, set_key, n_shingles, signature)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
-    classes = (rows.where(F.col("set_key").isNotNull()).groupBy("set_key")
-               .agg(first, *(F.first(c).alias(c) for c in ("n_shingles", "signature")))
+    classes = (rows.where(F.col("set_key").isNotNull()).withColumn("bands", bands(layout)).groupBy("set_key")
+               .agg(first, *(F.first(c).alias(c) for c in ("n_shingles", "bands")))
                .select("set_key", F.monotonically_increasing_id().alias("node"), "first.doc_id", "first.text_key",
-                       "n_shingles", "signature"))
+                       "n_shingles", "bands"))
     classes = scratch.write(classes, "classes")  # once written, the numbers stay
-    component = linked(classes.drop("set_key"), keyed_docs, scratch, similar, layout)
+    component = linked(classes.drop("set_key"), rows, keyed_docs, scratch, similar, layout)
     named = classes.select("set_key", "node", F.col("doc_id").alias("first_id"))
     if component is None:
         named = named.withColumn("component_id", F.col("first_id"))
@@ -391,7 +408,10 @@ def grouped(rows: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: t
         named = named.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
         named = named.join(least, "component")
-    return scratch.write(named.select("set_key", "component_id"), "named")
+    named = scratch.write(named.select("set_key", "component_id"), "named")
+    scratch.drop("classes")
+    release(rows.sparkSession)
+    return named
 
 
 def near_duplicates(docs: DataFrame, similar: tuple[int, int] = SIMILAR) -> DataFrame:

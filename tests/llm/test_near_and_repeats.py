@@ -65,6 +65,39 @@ def test_large_group_is_joined_without_all_pairs(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_closed_buckets_leave_before_their_pivots(spark, monkeypatch):
+    draw = random.Random(5)
+    words = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(80):
+        own = list(words)
+        own[draw.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    docs, seen = documents(spark, rows), []
+    join = type(docs).join
+
+    def watched(self, other, on=None, how=None):
+        if how == "left_anti":
+            seen.append(self.count())
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(type(docs), "join", watched)
+    got = near_duplicates.near_duplicates(docs).collect()
+    # All are linked by the first pivots, so that no row is left that a pivot has to be told from.
+    assert {r.component_id for r in got} == {0} and sum(seen) == 0
+
+
+def test_texts_are_packed_before_their_shuffle(spark, monkeypatch):
+    plan = fingerprints.beside_next(near_duplicates.keyed(documents(spark)))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan.split("Exchange hashpartitioning(range")[1]
+    rows = [(i % 2, 0, i, b"k", t) for i, t in enumerate(["", "é" * 500, "a b", "x" * 300])]
+    held = fingerprints.packed(spark.createDataFrame(
+        rows, "range long, head int, doc_id long, text_key binary, text string").coalesce(1)).toArrow().combine_chunks().to_batches()[0]
+    monkeypatch.setattr(fingerprints, "UNPACKED", 310)
+    parts = list(fingerprints.unpacked(held))
+    assert [len(p) for p in parts] == [1, 1, 2] and [r for p in parts for r in p] == rows
+
+
 def around_one(base_kept: bool) -> list[tuple[int, str]]:
     """A text and 150 copies with one to six words changed: most are too far from each other, some changes recur."""
     draw = random.Random(11)
