@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docengine.functions.text import WHITESPACE, as_col, strip, strip_tags
 
@@ -20,6 +21,8 @@ SECTIONS = T.ArrayType(
         ]
     )
 )
+# Characters or bytes of documents whose sections are Python objects at a time.
+SLICE = 1 << 20
 # Fixed value: name space of the label documents.
 LABEL_NS = "urn:hl7-org:v3"
 
@@ -90,6 +93,19 @@ def read_sections(content: bytes | None, ns: str = LABEL_NS) -> list[dict] | Non
     return reader.sections()
 
 
+def parsed_slices(content: pa.Array, ns: str, kind: pa.DataType) -> pa.Array:
+    """Sections of a batch of documents; what is held beside the two Arrow arrays is ``SLICE`` or one document."""
+    done, found, size = [], [], 0
+    for document in content:
+        document = document.as_py()
+        found.append(read_sections(document, ns))
+        size += len(document or ())
+        if size > SLICE:
+            done.append(pa.array(found, kind))
+            found, size = [], 0
+    return pa.concat_arrays([*done, pa.array(found, kind)])
+
+
 def xml_sections(content: Column | str, ns: str = LABEL_NS) -> Column:
     """Sections at any depth, in document order; a nested one follows its parent.
 
@@ -98,9 +114,11 @@ def xml_sections(content: Column | str, ns: str = LABEL_NS) -> Column:
     engine's only parser in a Python worker - fed in Arrow batches.
     """
 
-    @F.pandas_udf(SECTIONS)
-    def parse(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda content: read_sections(content, ns))
+    kind = to_arrow_type(SECTIONS)
+
+    @F.arrow_udf(SECTIONS)
+    def parse(batch: pa.Array) -> pa.Array:
+        return parsed_slices(batch, ns, kind)
 
     return parse(as_col(content))
 

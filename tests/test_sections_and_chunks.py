@@ -141,3 +141,18 @@ def test_chunking_needs_no_shuffle_and_no_python(spark):
     assert "Exchange" not in plan and "Python" not in plan
     # The array is computed once: it is not repeated in a filter.
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_sections_are_parsed_in_slices(monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    from docengine.operators import sections
+
+    document = '<document xmlns="urn:hl7-org:v3"><section><title>T</title><text>b%d</text></section></document>'
+    rows = [document % 1, None, "<broken", "", document % 2]
+    monkeypatch.setattr(sections, "SLICE", 50)
+    kind = to_arrow_type(sections.SECTIONS)
+    for held in (rows, []):
+        found = sections.parsed_slices(pa.array(held, pa.string()), sections.LABEL_NS, kind)
+        assert found.type == kind and found.to_pylist() == [sections.read_sections(r) for r in held]
