@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docengine.operators.lexical import words
+from docengine.runtime import materialize
 
 DIM, RANK = 1024, 64
 ROWS = 512  # texts whose bucket weights are held at a time
@@ -72,6 +73,7 @@ class LatentEncoder:
 def fit_latent(texts: DataFrame, text_col: str, rank: int = RANK, dim: int = DIM) -> LatentEncoder:
     """Directions of all texts; fewer than ``rank`` when they have no more."""
     held = texts.filter(F.col(text_col).isNotNull()).select(buckets(text_col, dim).alias("b")).filter(F.size("b") > 0)
+    held = materialize(held, "buckets")  # read three times; the words are found once
     found = held.select(F.explode(F.array_distinct("b")).alias("b")).groupBy("b").agg(F.count("*").alias("df"))
     n, df = held.count(), np.zeros(dim)
     for row in found.collect():  # dim rows at most

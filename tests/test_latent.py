@@ -60,3 +60,11 @@ def test_no_texts(spark, texts):
     encoder = latent.fit_latent(texts.filter("id >= 900"), "text", rank=5, dim=64)
     assert encoder.directions.shape == (0, 64)
     assert texts.limit(3).select(F.size(encoder("text")).alias("n")).filter("n <= 0").count() == 3
+
+
+def test_words_are_found_once_for_a_fit(spark, monkeypatch):
+    written = []
+    write = latent.materialize
+    monkeypatch.setattr(latent, "materialize", lambda df, label: written.append(label) or write(df, label))
+    texts = spark.createDataFrame([("a b c",), ("b c d",), (None,), ("",)], "text string")
+    assert len(latent.fit_latent(texts, "text", rank=2, dim=16).singular) == 2 and written == ["buckets"]
