@@ -55,6 +55,7 @@ def build_lexical(spark: SparkSession, passages: DataFrame, path: str, id_col: s
     """
     held = passages.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), words(text_col).alias("_words"))
     held = held.select("id", "_words", F.size("_words").alias("_len")).filter(F.col("_len") > 0)
+    held = materialize(held, "words")  # read twice; the passages are cut into words once
     n, total = held.agg(F.count("*"), F.coalesce(F.sum("_len"), F.lit(0))).first()
     spread = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("_len") / F.lit(total / n if n else 1.0))
     found = held.select("id", "_len", F.explode("_words").alias("term"))

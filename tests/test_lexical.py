@@ -69,3 +69,12 @@ def test_empty_tables(spark):
     some = lexical.build_lexical(spark, spark.createDataFrame([(1, "word")], "id long, text string"),
                                  scratch_path(spark, "test-lexical"), "id", "text")
     assert lexical.search(some, asked.limit(0), 3).count() == 0
+
+
+def test_passages_are_cut_into_words_once(spark, tmp_path, monkeypatch):
+    written = []
+    write = lexical.materialize
+    monkeypatch.setattr(lexical, "materialize", lambda df, label: written.append(label) or write(df, label))
+    passages = spark.createDataFrame([(1, "a b b"), (2, None), (3, "")], "id long, text string")
+    index = lexical.build_lexical(spark, passages, str(tmp_path / "index"), "id", "text")
+    assert index.passages == 1 and index.postings.count() == 2 and written == ["words"]
