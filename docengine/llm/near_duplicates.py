@@ -233,10 +233,12 @@ def verified(pairs: DataFrame, held: DataFrame, scratch: Scratch, name: str, sim
             yield pa.RecordBatch.from_arrays([a_id.filter(keep), b_id.filter(keep)], schema=alike)
 
     likely = scratch.write(both.select("a", "b", "sa", "sb").mapInArrow(estimate, "a long, b long"), name)
-    needed = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts_of = held.select("node", "text").join(small_side(needed, 8), "node", "left_semi")
-    full = (likely.join(texts_of.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
-            .join(texts_of.withColumnsRenamed({"node": "a", "text": "ta"}), "a"))
+
+    def texts_of(end: str, text: str) -> DataFrame:
+        needed = small_side(likely.select(F.col(end).alias("node")).distinct(), 8)
+        return held.select("node", "text").join(needed, "node", "left_semi").withColumnsRenamed({"node": end, "text": text})
+
+    full = likely.join(texts_of("b", "tb"), "b").join(texts_of("a", "ta"), "a")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, last = Shingler(), OrderedDict()
