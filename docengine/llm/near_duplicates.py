@@ -50,6 +50,7 @@ from docengine.llm.common import (
 WORDS = 5
 SMALL = 16
 GROWTH = 16           # how many times as many pivots a round has as the one before
+CLOSED = 4            # closed buckets leave once they hold one in so many rows
 PARTS = 16            # classes that shared shingles are counted in
 SIMILAR = (80, 100)   # intersection / union at least 80 / 100
 ROOM = 6              # standard deviations of the signature's estimate that a candidate may fall short
@@ -303,11 +304,22 @@ def joined(members: DataFrame, component: DataFrame | None) -> DataFrame:
     return members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def still_open(state: DataFrame) -> DataFrame:
-    """The rows of buckets that hold more than one component."""
-    open_ = (state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .where("x <> y").select("bucket"))
-    return state.join(open_, "bucket", "left_semi")
+def still_open(state: DataFrame, scratch: Scratch, name: str) -> DataFrame | None:
+    """The written ``state`` without the buckets that hold one component; None if no others are left.
+
+    Buckets of one component give no pairs. They stay while they hold fewer than one in ``CLOSED``
+    rows, for which all the others would be joined, shuffled and written again.
+    """
+    told = Observation()
+    one = F.col("x") == F.col("y")
+    each = state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+    each = scratch.write(each.observe(told, F.sum("n").alias("rows"), F.sum(F.when(one, F.col("n"))).alias("closed")),
+                         f"each-{name}")
+    rows, closed = (told.get[c] or 0 for c in ("rows", "closed"))
+    if closed < rows and CLOSED * closed >= rows:
+        state = scratch.write(state.join(each.where(~one).select("bucket"), "bucket", "left_semi"), name)
+    scratch.drop(f"each-{name}")
+    return state if closed < rows else None
 
 
 def linked(nodes: DataFrame, rows: DataFrame, keyed_docs: DataFrame, scratch: Scratch, similar: tuple[int, int],
@@ -347,13 +359,16 @@ def linked(nodes: DataFrame, rows: DataFrame, keyed_docs: DataFrame, scratch: Sc
         state = joined(rest, component)
         if step:
             # Buckets that the links have closed go first; of the others, the pivots have met all nodes and go.
-            state = scratch.write(still_open(state), f"some-{step}").join(
-                chosen.select("bucket", F.col("p.node").alias("node")), ["bucket", "node"], "left_anti")
-            state = scratch.write(still_open(state), f"left-{step}")
-            scratch.drop(f"some-{step}", f"open-{step - 1}", f"able-{step - 1}", f"pivots-{step - 1}",
-                         f"pairs-{step - 1}", f"likely-{step - 1}")
+            # Each table is written before still_open, which reads it twice.
+            state = still_open(scratch.write(state, f"named-{step}"), scratch, f"unmet-{step}")
+            if state is not None:
+                state = scratch.write(state.join(
+                    chosen.select("bucket", F.col("p.node").alias("node")), ["bucket", "node"], "left_anti"), f"some-{step}")
+                state = still_open(state, scratch, f"left-{step}")
+            scratch.drop(f"named-{step}", f"unmet-{step}", f"open-{step - 1}", f"pivots-{step - 1}",
+                         f"able-{step - 1}", f"pairs-{step - 1}", f"likely-{step - 1}")
             release(spark)
-            if state.isEmpty():
+            if state is None:
                 break
             if shingles is None:
                 shingles = scratch.write(shingle_rows(held.join(
@@ -361,9 +376,14 @@ def linked(nodes: DataFrame, rows: DataFrame, keyed_docs: DataFrame, scratch: Sc
             counts = shared_counts(shingles, state.select("node", "component").distinct())
             counts = counts.withColumn("n_shared", F.aggregate("shared", F.lit(0), lambda n, k: n + k))
             state = still_open(scratch.write(state.join(counts, "node").where(
-                similar[1] * F.col("n_shared") >= similar[0] * F.col("n_shingles")), f"able-{step}"))
-        rest = scratch.write(state, f"open-{step}")
-        scratch.drop(f"left-{step}")
+                similar[1] * F.col("n_shared") >= similar[0] * F.col("n_shingles")), f"able-{step}"),
+                scratch, f"open-{step}")
+            scratch.drop(f"some-{step}", f"left-{step}")
+            if state is None:
+                break
+            rest = state
+        else:
+            rest = scratch.write(state, f"open-{step}")
         # The most popular node of each of ``pivots`` parts of a bucket: an aggregate, however many nodes it has.
         told = ["node", "component", "n_shingles", *(("n_shared", "shared") if step else ())]
         chosen = (rest.groupBy("bucket", F.pmod(F.xxhash64("component"), F.lit(pivots)).alias("part"))
@@ -389,7 +409,7 @@ def linked(nodes: DataFrame, rows: DataFrame, keyed_docs: DataFrame, scratch: Sc
                 component = components(reduce(DataFrame.union, links), scratch, f"components-{step}")
         rest = rest.select("bucket", "node", "n_shingles", "popular")
         pairs, pivots, step = None, pivots * GROWTH, step + 1
-    scratch.drop("members", "asked", "held", "shingles")
+    scratch.drop("members", "asked", "held", "shingles", f"some-{step}", f"left-{step}", f"able-{step}")
     return component
 
 

@@ -111,6 +111,37 @@ def around_one(base_kept: bool) -> list[tuple[int, str]]:
     return rows
 
 
+def test_rows_of_a_round_are_made_once(spark, monkeypatch):
+    """The anti join with the pivots runs once a round, and no pair of candidates is made into rows for its ends."""
+    write, plans = Scratch.write, {}
+
+    def watched(self, df, name, *args):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(self, df, name, *args)
+
+    monkeypatch.setattr(Scratch, "write", watched)
+    near_duplicates.near_duplicates(documents(spark, around_one(False)), (85, 100)).collect()
+    met = [plan.count("LeftAnti") for plan in plans.values()]
+    assert max(met) == 1 and sum(met) == sum(name.startswith("some-") for name in plans)
+    links = [plan for name, plan in plans.items() if name.startswith("links-")]
+    assert links and not any("explode" in plan for plan in links)
+
+
+def test_closed_buckets_stay_until_they_hold_many_rows(spark):
+    def after(closed, open_):
+        # Buckets below 100 hold one component, the others two.
+        rows = [(b, 10 * b + k, 10 * b) for b in range(closed) for k in range(2)]
+        rows += [(100 + b, 10 * b + k, 10 * b + k) for b in range(open_) for k in range(2)]
+        scratch = Scratch(spark, "t")
+        state = scratch.write(spark.createDataFrame(rows, "bucket long, node long, component long"), "state")
+        left = near_duplicates.still_open(state, scratch, "left")
+        return left and sorted({r.bucket for r in left.collect()})
+
+    assert after(1, 4) == [0, 100, 101, 102, 103]
+    assert after(2, 4) == [100, 101, 102, 103]
+    assert after(3, 0) is None and after(0, 0) is None
+
+
 @pytest.mark.parametrize("base_kept", [True, False])
 def test_large_group_of_texts_far_from_each_other(spark, base_kept):
     rows = around_one(base_kept)
