@@ -310,15 +310,11 @@ def still_open(state: DataFrame, scratch: Scratch, name: str) -> DataFrame | Non
     Buckets of one component give no pairs. They stay while they hold fewer than one in ``CLOSED``
     rows, for which all the others would be joined, shuffled and written again.
     """
-    told = Observation()
-    one = F.col("x") == F.col("y")
     each = state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-    each = scratch.write(each.observe(told, F.sum("n").alias("rows"), F.sum(F.when(one, F.col("n"))).alias("closed")),
-                         f"each-{name}")
-    rows, closed = (told.get[c] or 0 for c in ("rows", "closed"))
+    told = each.agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("x") == F.col("y"), F.col("n"))).alias("closed")).first()
+    rows, closed = told["rows"] or 0, told["closed"] or 0
     if closed < rows and CLOSED * closed >= rows:
-        state = scratch.write(state.join(each.where(~one).select("bucket"), "bucket", "left_semi"), name)
-    scratch.drop(f"each-{name}")
+        state = scratch.write(state.join(each.where("x <> y").select("bucket"), "bucket", "left_semi"), name)
     return state if closed < rows else None
 
 
