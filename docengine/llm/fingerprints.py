@@ -12,6 +12,10 @@ that differ in a few shingles often share a fingerprint.
 To set a document beside the next one, documents are dealt into ranges of
 doc_id and read in order; the first document of a range goes to the end of the
 range before it too.  Texts are shuffled once, packed.
+
+A worker keeps the memory of its largest task while it waits for the next one,
+and an executor keeps all its workers.  So texts are handled ``UNPACKED`` bytes
+at a time, and no task needs two workers.
 """
 
 from __future__ import annotations
@@ -20,8 +24,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +35,8 @@ from docengine.llm.near_duplicates import SIMILAR, Layout, Shingler, coefficient
 HASHES = 128
 LAYOUT = Layout(hashes=HASHES, bands=25, rows=5, dtype="<u2")
 RANGE_BYTES = 16 << 20
-UNPACKED = 16 << 20   # bytes of text unpacked at a time
+UNPACKED = 2 << 20    # bytes of text handled at a time
+FIRST = -(1 << 63)    # the place of a null doc_id
 
 
 class Printer:
@@ -64,8 +69,13 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
-def _ranges(own: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """(documents with their range, first documents for the range before theirs, number of ranges).
+def ranges_of(record: pa.RecordBatch, cuts: np.ndarray) -> np.ndarray:
+    ids = record.column(record.schema.get_field_index("doc_id")).fill_null(FIRST)
+    return np.searchsorted(cuts, ids.to_numpy(), side="right")
+
+
+def _ranges(own: DataFrame) -> tuple[np.ndarray, DataFrame, int]:
+    """(first doc_id of each range after the first, first documents for the range before theirs, number of ranges).
 
     Order: doc_id (null before all), then text_key.
     """
@@ -74,20 +84,24 @@ def _ranges(own: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     parts = max(shards(spark), -(-held // RANGE_BYTES))
     cuts = own.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0]
     cuts = np.unique(np.array(cuts or [], np.int64))  # one number per range
+    dealt = pa.schema([("range", pa.int64()), ("id", pa.int64()), ("text_key", pa.binary())])
 
-    @F.pandas_udf("long")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, ids.to_numpy(np.int64), side="right"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ranges_of(b, cuts), pa.int64()), b.column(0).fill_null(FIRST), b.column(1).cast(pa.binary())], schema=dealt)
 
-    ordered = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    dealt = own.withColumn("range", range_of(ordered))
-    least = F.min(F.struct(ordered.alias("id"), "text_key")).alias("first")
+    ordered = F.coalesce("doc_id", F.lit(FIRST))
+    least = F.min(F.struct("id", "text_key")).alias("first")
     firsts = sorted((r["range"], r["first"]["id"], bytes(r["first"]["text_key"]))
-                    for r in dealt.groupBy("range").agg(least).collect())  # a row per range
+                    for r in own.select("doc_id", "text_key").mapInArrow(run, "range long, id long, text_key binary")
+                    .groupBy("range").agg(least).collect())  # a row per range
     heads = [(firsts[i - 1][0], key, text_key) for i, (_, key, text_key) in enumerate(firsts)]
-    ahead = spark.createDataFrame(heads, "range long, id long, key binary")
+    columns = zip(*heads) if heads else ((), (), ())
+    # As an Arrow table; rows of Python would go through workers of another kind, which then stay too.
+    ahead = spark.createDataFrame(pa.table([pa.array(c, kind) for c, kind in zip(columns, dealt.types)], ["range", "id", "key"]))
     first = own.join(F.broadcast(ahead), (ordered == F.col("id")) & (F.col("text_key") == F.col("key")))
-    return dealt, first.select(*own.columns, "range"), parts
+    return cuts, first.select(*own.columns, "range"), parts
 
 
 ROWS = ("doc_id long, text_key binary, set_key binary, n_shingles long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
@@ -97,19 +111,38 @@ _ROWS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("set_key"
                    ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """``rows`` (range, head, doc_id, text_key, text) with the text as n_bytes and its bytes, compressed."""
+def slices(b: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, ``UNPACKED`` bytes or one row at a time."""
+    begin = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > begin and size + n > UNPACKED:
+            yield b.slice(begin, i - begin)
+            begin, size = i, 0
+        size += n
+    if begin < b.num_rows:
+        yield b.slice(begin)
+
+
+def packed(rows: DataFrame, cuts: np.ndarray = np.zeros(0, np.int64)) -> DataFrame:
+    """``rows`` (range, head, doc_id, text_key, text) with the text as n_bytes and its bytes, compressed.
+
+    A null range is that of the document.
+    """
     schema = pa.schema([("range", pa.int64()), ("head", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.binary()),
                         ("n_bytes", pa.int64()), ("packed", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", 1)
-        for b in batches:
-            held = [t.encode("utf-8", "surrogatepass") for t in text_column(b)]
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(b.schema.get_field_index(c)).cast(schema.field(c).type) for c in schema.names[:4]),
-                 pa.array(map(len, held), pa.int64()),
-                 pa.array([codec.compress(t, asbytes=True) for t in held], pa.binary())], schema=schema)
+        for whole in batches:
+            sizes = pc.binary_length(whole.column(whole.schema.get_field_index("text"))).to_numpy()
+            for b in slices(whole, sizes):
+                held = [t.encode("utf-8", "surrogatepass") for t in text_column(b)]
+                column = {c: b.column(b.schema.get_field_index(c)) for c in schema.names[:4]}
+                column["range"] = pc.coalesce(column["range"], pa.array(ranges_of(b, cuts), pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*(v.cast(schema.field(c).type) for c, v in column.items()),
+                     pa.array(map(len, held), pa.int64()),
+                     pa.array([codec.compress(t, asbytes=True) for t in held], pa.binary())], schema=schema)
 
     return rows.select("range", "head", "doc_id", "text_key", "text").mapInArrow(
         run, "range long, head int, doc_id long, text_key binary, n_bytes long, packed binary")
@@ -117,15 +150,12 @@ def packed(rows: DataFrame) -> DataFrame:
 
 def unpacked(b: pa.RecordBatch) -> Iterator[list[tuple]]:
     """Rows (range, head, doc_id, text_key, text) of a batch of ``packed``, ``UNPACKED`` bytes or one text at a time."""
-    codec, rows, size = pa.Codec("zstd"), [], 0
-    for *row, n, held in zip(*(text_column(b, c) for c in ("range", "head", "doc_id", "text_key", "n_bytes", "packed"))):
-        if rows and size + n > UNPACKED:
-            yield rows
-            rows, size = [], 0
-        text = codec.decompress(held, n, asbytes=True) if n else b""
-        rows.append((*row, text.decode("utf-8", "surrogatepass")))
-        size += n
-    if rows:
+    codec = pa.Codec("zstd")
+    for part in slices(b, b.column(b.schema.get_field_index("n_bytes")).to_numpy()):
+        rows = []
+        for *row, n, held in zip(*(text_column(part, c) for c in ("range", "head", "doc_id", "text_key", "n_bytes", "packed"))):
+            text = codec.decompress(held, n, asbytes=True) if n else b""
+            rows.append((*row, text.decode("utf-8", "surrogatepass")))
         yield rows
 
 
@@ -134,9 +164,10 @@ def beside_next(own: DataFrame) -> DataFrame:
 
     set_key is equal for equal shingle sets and null for empty ones.
     """
-    dealt, first, parts = _ranges(own)
-    both = dealt.withColumn("head", F.lit(0)).unionByName(first.withColumn("head", F.lit(1)))
-    sorted_ = packed(both).repartition(parts, "range").sortWithinPartitions("range", "head", "doc_id", "text_key")
+    cuts, first, parts = _ranges(own)
+    dealt = own.withColumns({"range": F.lit(None).cast("long"), "head": F.lit(0)})
+    both = dealt.unionByName(first.withColumn("head", F.lit(1)))
+    sorted_ = packed(both, cuts).repartition(parts, "range").sortWithinPartitions("range", "head", "doc_id", "text_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         printer = Printer()

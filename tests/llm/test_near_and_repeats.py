@@ -1,7 +1,9 @@
+import hashlib
 import os
 import random
 import re
 import sys
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +100,28 @@ def test_texts_are_packed_before_their_shuffle(spark, monkeypatch):
     assert [len(p) for p in parts] == [1, 1, 2] and [r for p in parts for r in p] == rows
 
 
+def test_workers_stay_small(spark):
+    """No task of the fingerprints needs two Python workers, no rows go through workers of another kind, few texts are held at once."""
+    plan = fingerprints.beside_next(near_duplicates.keyed(documents(spark)))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "ExistingRDD[range" not in plan
+    rows = [(0, 0, i, b"k", chr(97 + i % 26) * (1 << 20)) for i in range(24)]
+    held = fingerprints.packed(spark.createDataFrame(
+        rows, "range long, head int, doc_id long, text_key binary, text string").coalesce(1)).toArrow().combine_chunks().to_batches()[0]
+    tracemalloc.start()
+    assert sum(len(part) for part in fingerprints.unpacked(held)) == 24
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 << 20
+
+
+def test_ranges_keep_the_order_of_rows(spark):
+    """Null and repeated ids, many ranges: every row is set beside the next one, the last beside the first."""
+    rows = [(None if i % 9 == 0 else i // 2, f"{i} a b c d e") for i in range(120)]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).digest()))
+    got = fingerprints.fingerprinted(documents(spark, rows).repartition(5)).select("doc_id", "edited_sha256").collect()
+    assert key(got) == key((i, sha(fingerprints.edited(t, after).encode())) for (i, t), (_, after) in zip(order, order[1:] + order[:1]))
+
+
 def around_one(base_kept: bool) -> list[tuple[int, str]]:
     """A text and 150 copies with one to six words changed: most are too far from each other, some changes recur."""
     draw = random.Random(11)
